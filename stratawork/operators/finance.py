@@ -53,8 +53,9 @@ def calculate_rolling_average(
     keys: list[str] = SERIES,
     name: str | None = None,
 ) -> DataFrame:
-    mean = F.avg(column).over(_trailing(keys, window_days))
-    return df.withColumn(name or f"rolling_average_{window_days}d", F.round(mean, 4))
+    """Mean over the last ``window_days`` rows, averaged as decimals so that rounding is exact."""
+    mean = F.avg(F.col(column).cast("decimal(28,8)")).over(_trailing(keys, window_days))
+    return df.withColumn(name or f"rolling_average_{window_days}d", F.round(mean, 4).cast("double"))
 
 
 def calculate_price_range_metrics(df: DataFrame) -> DataFrame:

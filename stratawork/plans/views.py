@@ -160,12 +160,12 @@ STOCK_SQL = """stock AS (
   FROM events GROUP BY 1, 2)"""
 
 
-def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stock(spark: SparkSession, sf_dir: str, *extra_keys: str) -> DataFrame:
     """Daily prices per symbol; the partial aggregation folds a hot symbol on the map side."""
     moment = F.struct("ts", "event_id")
     return (
         table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("date"))
+        .groupBy(F.col("event_type").alias("symbol"), *extra_keys, F.to_date("ts").alias("date"))
         .agg(
             F.min_by("value", moment).alias("open"),
             F.max("value").alias("high"),
