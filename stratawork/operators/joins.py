@@ -36,16 +36,21 @@ def broadcast_when_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
-def lookup_left(
+def lookup(
     facts: DataFrame,
     dimension: DataFrame,
     fact_key: str,
     dimension_key: str,
+    how: str = "left",
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left join to a dimension under differently named keys; its key column is dropped."""
+    """Join facts to a dimension under differently named keys; the dimension's key is dropped.
+
+    With few distinct keys a shuffle of the facts would end in few huge tasks; a dimension
+    that measures small is therefore broadcast.
+    """
     side = broadcast_when_small(dimension, max_broadcast_bytes)
-    return facts.join(side, facts[fact_key] == side[dimension_key], "left").drop(side[dimension_key])
+    return facts.join(side, facts[fact_key] == side[dimension_key], how).drop(side[dimension_key])
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

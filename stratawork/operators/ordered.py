@@ -15,12 +15,20 @@ from ..workspace import durable
 from .joins import join_null_safe
 
 MAX_GROUP_ROWS = 5_000_000
+# Cutting by range samples about a hundred keys per slice on the driver; this bounds them.
+MAX_SLICES = 10_000
 _SLICE = "__slice"
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the biggest group: map-side counts, one number to the driver."""
-    return df.groupBy(*keys).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows in the biggest group and in all groups: map-side counts, two numbers to the driver."""
+    counts = df.groupBy(*keys).count()
+    return tuple(counts.agg(*[F.coalesce(f("count"), F.lit(0)) for f in (F.max, F.sum)]).first())
+
+
+def slices_for(total_rows: int, max_group_rows: int) -> int:
+    """Enough slices that each is well below the group limit."""
+    return min(MAX_SLICES, 1 + 2 * total_rows // max(1, max_group_rows))
 
 
 def _ordering(order: list) -> list[Column]:
@@ -45,9 +53,11 @@ def ordered_scan(
     """
     running, following = running or {}, following or {}
     by = _ordering(order)
-    if largest_group(df, keys) <= max_group_rows:
+    largest, total = group_sizes(df, keys)
+    if largest <= max_group_rows:
         return _plain_scan(df, keys, by, row_number, running, following)
-    return _sliced_scan(df, keys, by, row_number, running, following)
+    slices = slices_for(total, max_group_rows)
+    return _sliced_scan(df, keys, by, row_number, running, following, slices)
 
 
 def _plain_scan(df, keys, by, row_number, running, following) -> DataFrame:
@@ -60,9 +70,9 @@ def _plain_scan(df, keys, by, row_number, running, following) -> DataFrame:
     return df.withColumns(added)
 
 
-def _sliced_scan(df, keys, by, row_number, running, following) -> DataFrame:
+def _sliced_scan(df, keys, by, row_number, running, following, slice_count) -> DataFrame:
     # The slice number must be the same for every reader below, hence the written stage.
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *by)
+    ranged = df.repartitionByRange(slice_count, *[F.col(k) for k in keys], *by)
     sliced = durable(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
     window = Window.partitionBy(*keys, _SLICE).orderBy(*by)
@@ -116,7 +126,7 @@ def ranked(
 ) -> DataFrame:
     """SQL ``rank``, ``dense_rank`` and ``row_number`` of ``value`` within each group."""
     by = F.col(value).desc() if descending else F.col(value).asc()
-    if largest_group(df, keys) <= max_group_rows:
+    if group_sizes(df, keys)[0] <= max_group_rows:
         peers = Window.partitionBy(*keys).orderBy(by)
         added = {}
         if rank:

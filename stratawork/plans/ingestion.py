@@ -18,7 +18,15 @@ from ..sources.files import (
     ingest_parquet,
     with_lineage,
 )
-from ..streaming.jobs import VersionedUpsert, append_files, each_batch, latest_result, new_files, rate_columns, tumbling
+from ..streaming.jobs import (
+    UpsertLog,
+    append_files,
+    each_batch,
+    latest_result,
+    new_files,
+    rate_columns,
+    tumbling,
+)
 from ..workspace import new_folder
 from . import flows
 from .finance import _METRICS_SQL
@@ -392,8 +400,8 @@ def stream_tumbling_complete(spark, sf):
     " ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
 )
 def stream_upsert_latest(spark, sf):
-    """Newest event of every user, merged batch by batch into a versioned table."""
+    """Newest event of every user, merged batch by batch into an upsert log."""
     stream = _event_stream(spark, sf).select("user_id", "event_id", "ts", "value")
-    sink = VersionedUpsert(spark, new_folder(spark, "latest"), stream.schema, ["user_id"], ["ts", "event_id"])
+    sink = UpsertLog(spark, new_folder(spark, "latest"), stream.schema, ["user_id"], ["ts", "event_id"])
     each_batch(stream, sink, new_folder(spark, "latest-checkpoint"), "append").awaitTermination()
     return sink.read().drop("ts")

@@ -10,7 +10,7 @@ from ..functions.numbers import money, money_mean, money_sum
 from ..functions.udfs import amount_band_udf, loyalty_score_udf
 from ..operators import sales as op
 from ..operators.cleanse import clean_sales
-from ..operators.joins import having_key_in, lookup_left
+from ..operators.joins import having_key_in, lookup
 from ..operators.merge import passes_rules, rows_after, union_widening
 from ..operators.ordered import ordered_scan, ranked, running_total_of_peers, top_rows
 from ..operators.quality import null_profile
@@ -460,7 +460,7 @@ def category_sales(spark, sf):
 )
 def enrich_left_broadcast(spark, sf):
     df = sales(spark, sf, "transaction_id", "line_number", "product_category")
-    return lookup_left(df, category_info(spark, sf), "product_category", "category")
+    return lookup(df, category_info(spark, sf), "product_category", "category")
 
 
 @query(
@@ -471,7 +471,7 @@ def enrich_left_broadcast(spark, sf):
 )
 def dept_revenue(spark, sf):
     df = sales(spark, sf, "product_category", "total_amount")
-    joined = df.join(category_info(spark, sf), F.col("product_category") == F.col("category"))
+    joined = lookup(df, category_info(spark, sf), "product_category", "category", "inner")
     grouped = joined.groupBy("department").agg(money_sum("total_amount").alias("dept_revenue"))
     return grouped.orderBy(F.desc("dept_revenue"))
 
@@ -486,7 +486,7 @@ def dept_revenue(spark, sf):
 def dept_segment(spark, sf):
     df = sales(spark, sf, "product_category", "customer_segment", "total_amount")
     large = df.filter("total_amount > 50000")
-    joined = large.join(category_info(spark, sf), F.col("product_category") == F.col("category"))
+    joined = lookup(large, category_info(spark, sf), "product_category", "category", "inner")
     return op.revenue(joined, ["department", "customer_segment"]).orderBy(F.desc("revenue"))
 
 

@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import money_mean, money_sum
 from ..operators.cleanse import remove_duplicates
-from ..operators.merge import upsert
 from ..workspace import new_folder
 
 
@@ -117,38 +116,24 @@ def latest_result(spark: SparkSession, stream: DataFrame, label: str, output_mod
     return spark.read.schema(stream.schema).parquet(last["path"])
 
 
-class VersionedUpsert:
-    """Merge micro-batches into a table of versioned folders.
+class UpsertLog:
+    """Upsert sink whose cost follows the batch and not the table.
 
-    Batch *n* reads the newest folder before it and writes folder *n*; a replayed batch
-    rewrites the same folder from the same input, which makes the sink effectively
-    exactly-once.
+    Batch *n* writes its newest row per key to a folder of its own; a replayed batch rewrites
+    that folder from the same input, so the sink is effectively exactly-once. Reading takes,
+    per key, the row of the latest batch, as a merge of the batches in turn would.
     """
 
     def __init__(self, spark: SparkSession, base: str, schema: T.StructType, keys: list[str], order_by: list[str]):
         self.spark, self.base, self.schema = spark, base.rstrip("/"), schema
         self.keys, self.order_by = keys, order_by
 
-    def _committed(self, below: int | None = None) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
-        files = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(hadoop):
-            return []
-        found = []
-        for status in files.listStatus(hadoop):
-            name = status.getPath().getName()
-            done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}/_SUCCESS")
-            if name.startswith("v") and name[1:].isdigit() and files.exists(done):
-                found.append(int(name[1:]))
-        return sorted(v for v in found if below is None or v < below)
-
-    def read(self, below: int | None = None) -> DataFrame:
-        versions = self._committed(below)
-        if not versions:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.base}/v{versions[-1]}")
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         newest = remove_duplicates(batch, self.keys, keep="last", order_by=self.order_by)
-        merged = upsert(self.read(batch_id), newest, self.keys, source_is_unique=True)
-        merged.write.mode("overwrite").parquet(f"{self.base}/v{batch_id}")
+        newest.write.mode("overwrite").parquet(f"{self.base}/_batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        stored = T.StructType([*self.schema.fields, T.StructField("_batch", T.LongType())])
+        log = self.spark.read.schema(stored).parquet(self.base)
+        newest = remove_duplicates(log, self.keys, keep="last", order_by=["_batch", *self.order_by])
+        return newest.drop("_batch")
