@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .functions.names import schema_name_for
 from .operators.ordered import MAX_GROUP_ROWS, ordered_scan
-from .sources.files import ingest_csv
+from .sources.files import ingest_csv, with_lineage
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -63,17 +63,22 @@ def save_table(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
+    bucket_by: tuple[int, list[str]] | None = None,
 ) -> None:
     """Write a catalog table; overwriting replaces the schema, too.
 
     With ``partition_by`` the rows are spread so that each partition value is written by few
-    tasks; adaptive execution splits a value that is too large for one.
+    tasks; adaptive execution splits a value that is too large for one. Tables with the same
+    ``bucket_by`` (count, keys) join on these keys without a shuffle.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        buckets, keys = bucket_by
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     writer.saveAsTable(table_name)
 
 
@@ -102,6 +107,17 @@ def ingest_csv_with_schema(layers: Layers, file_path: str, schema: T.StructType
     return layers.write(ingest_csv(layers.spark, file_path, schema), "bronze", table_name)
 
 
+def ingest_all(layers: Layers, sources: dict[str, DataFrame], mode: str = "append") -> DataFrame:
+    """Write every source (files, API pages, database, object store) to its raw table.
+
+    Each table gets the name of its source and an ingestion time; the result is the inventory
+    of the raw layer. A scheduler may as well run the sources as tasks of their own.
+    """
+    for name, df in sources.items():
+        layers.write(with_lineage(df, source_system=name), "bronze", name, mode=mode)
+    return layers.inventory("bronze_")
+
+
 def table_inventory(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     """Name and record count of each frame as one union of counts."""
     if not frames:

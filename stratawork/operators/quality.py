@@ -95,12 +95,20 @@ def status_counts(scored: DataFrame) -> DataFrame:
     return scored.groupBy("quality_status").agg(F.count("*").alias("record_count"))
 
 
-def null_profile(df: DataFrame) -> DataFrame:
+def null_profile(df: DataFrame, count_nan: bool = False) -> DataFrame:
     """NULL count and share of every column from a single pass.
 
-    One row of counters is unpivoted, instead of one job per column.
+    One row of counters is unpivoted, instead of one job per column. ``count_nan`` counts NaN
+    in floating-point columns as missing, too.
     """
-    counters = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+
+    def missing(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if count_nan and isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            return column.isNull() | F.isnan(column)
+        return column.isNull()
+
+    counters = [F.count_if(missing(f)).alias(f"n{i}") for i, f in enumerate(df.schema.fields)]
     counted = df.agg(F.count("*").alias("row_count"), *counters)
     entries = [
         F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"))

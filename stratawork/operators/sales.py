@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import amount_band, price_after_discount, price_tier
-from ..functions.numbers import money_mean, money_sum
+from ..functions.numbers import money_mean, money_sum, ratio
 
 
 def enhance(df: DataFrame) -> DataFrame:
@@ -51,6 +51,7 @@ def fold(df: DataFrame, keys: list[str], amount: str = "total_amount") -> DataFr
     """
     return df.groupBy(*keys).agg(
         F.count("*").alias("__count"),
+        F.count(amount).alias("__known"),
         money_sum(amount).alias("__sum"),
         F.max(amount).alias("__max"),
         F.min(amount).alias("__min"),
@@ -59,11 +60,11 @@ def fold(df: DataFrame, keys: list[str], amount: str = "total_amount") -> DataFr
 
 def unfold(partial: DataFrame, keys: list[str]) -> DataFrame:
     """The result of :func:`summarize` from rows of :func:`fold`."""
-    total, rows = F.sum("__sum"), F.sum("__count")
+    total = F.sum("__sum")
     return partial.groupBy(*keys).agg(
-        rows.alias("transaction_count"),
+        F.sum("__count").alias("transaction_count"),
         total.alias("total_revenue"),
-        F.try_divide(total.cast("double"), rows.cast("double")).alias("avg_transaction"),
+        ratio(total, F.sum("__known")).alias("avg_transaction"),
         F.max("__max").alias("max_transaction"),
         F.min("__min").alias("min_transaction"),
     )

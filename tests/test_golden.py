@@ -103,6 +103,12 @@ def test_null_profile(spark):
     assert sorted(tuple(r) for r in quality.null_profile(df).collect()) == [("a", 1, 33.33), ("b", 2, 66.67)]
 
 
+def test_null_profile_counts_nan_on_request(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (2.0,)], "x double")
+    assert quality.null_profile(df).first()["null_count"] == 1
+    assert quality.null_profile(df, count_nan=True).first()["null_percentage"] == 50.0
+
+
 def test_remove_duplicates(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, t int")
     first = cleanse.remove_duplicates(df, ["k"], "first", ["t"])
