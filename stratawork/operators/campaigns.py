@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numbers import money_sum, percent, ratio
+from ..functions.numbers import percent, ratio
 
 
 def campaign_metrics(df: DataFrame) -> DataFrame:
@@ -20,8 +20,8 @@ def campaign_metrics(df: DataFrame) -> DataFrame:
 
 def campaign_totals(metrics: DataFrame) -> DataFrame:
     return metrics.agg(
-        money_sum("budget").alias("total_budget"),
-        money_sum("revenue").alias("total_revenue"),
+        F.sum(F.col("budget").cast("decimal(28,2)")).alias("total_budget"),
+        F.sum(F.col("revenue").cast("decimal(28,2)")).alias("total_revenue"),
         F.round(F.avg("roas"), 6).alias("avg_roas"),
         F.sum("conversions").alias("total_conversions"),
     )

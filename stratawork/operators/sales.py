@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import amount_band, price_after_discount, price_tier
-from ..functions.numbers import money_mean, money_sum, ratio
+from ..functions.numbers import cents, from_cents, money_mean, money_sum, ratio
 
 
 def enhance(df: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def fold(df: DataFrame, keys: list[str], amount: str = "total_amount") -> DataFr
     return df.groupBy(*keys).agg(
         F.count("*").alias("__count"),
         F.count(amount).alias("__known"),
-        money_sum(amount).alias("__sum"),
+        F.sum(cents(amount)).alias("__cents"),
         F.max(amount).alias("__max"),
         F.min(amount).alias("__min"),
     )
@@ -60,7 +60,7 @@ def fold(df: DataFrame, keys: list[str], amount: str = "total_amount") -> DataFr
 
 def unfold(partial: DataFrame, keys: list[str]) -> DataFrame:
     """The result of :func:`summarize` from rows of :func:`fold`."""
-    total = F.sum("__sum")
+    total = from_cents(F.sum("__cents"))
     return partial.groupBy(*keys).agg(
         F.sum("__count").alias("transaction_count"),
         total.alias("total_revenue"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import sample_rows, table_inventory
 from ..functions.labels import loyalty_score
-from ..functions.numbers import money, money_mean, money_sum
+from ..functions.numbers import cents, from_cents, money_mean, money_sum
 from ..functions.udfs import amount_band_udf, loyalty_score_udf
 from ..operators import sales as op
 from ..operators.cleanse import clean_sales
@@ -557,9 +557,9 @@ def running_total(spark, sf):
         df,
         ["store_location"],
         ["transaction_date", "transaction_id"],
-        running={"running_total": money("total_amount")},
+        running={"running_total": cents("total_amount")},
     )
-    return totals.select("transaction_id", "store_location", "running_total")
+    return totals.select("transaction_id", "store_location", from_cents("running_total").alias("running_total"))
 
 
 @query(
@@ -570,8 +570,8 @@ def running_total(spark, sf):
 )
 def running_total_range(spark, sf):
     df = order_sales(spark, sf, "transaction_id", "customer_id", "transaction_date", "total_amount")
-    totals = running_total_of_peers(df, ["customer_id"], "transaction_date", money("total_amount"))
-    return totals.select("transaction_id", "customer_id", "running_total")
+    totals = running_total_of_peers(df, ["customer_id"], "transaction_date", cents("total_amount"))
+    return totals.select("transaction_id", "customer_id", from_cents("running_total").alias("running_total"))
 
 
 @query(
@@ -590,9 +590,9 @@ def top3_per_segment(spark, sf):
     order = [F.desc("total_amount"), "transaction_id"]
     best = top_rows(df, ["customer_segment"], order, 3, "customer_rank")
     totals = ordered_scan(
-        best, ["customer_segment"], ["customer_rank"], running={"running_total": money("total_amount")}
+        best, ["customer_segment"], ["customer_rank"], running={"running_total": cents("total_amount")}
     )
-    return totals.drop("transaction_id")
+    return totals.drop("transaction_id").withColumn("running_total", from_cents("running_total"))
 
 
 # Unions

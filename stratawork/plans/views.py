@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.numbers import money_sum
 from ..operators.ordered import paged_lists
 
 
@@ -139,7 +140,7 @@ CAMPAIGNS_SQL = """campaigns AS (
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One campaign per user and day; many have no clicks or no budget."""
-    kind, value = F.col("event_type"), F.col("value").cast("decimal(18,2)")
+    kind = F.col("event_type")
     return (
         table(spark, sf_dir, "events")
         .groupBy("user_id", F.to_date("ts").alias("day"))
@@ -147,8 +148,8 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count("*").alias("impressions"),
             F.count_if(kind == "click").alias("clicks"),
             F.count_if(kind == "purchase").alias("conversions"),
-            F.sum(F.when(kind == "purchase", value)).alias("revenue"),
-            F.sum(F.when(kind == "view", value)).alias("budget"),
+            money_sum(F.when(kind == "purchase", F.col("value"))).alias("revenue"),
+            money_sum(F.when(kind == "view", F.col("value"))).alias("budget"),
         )
     )
 
