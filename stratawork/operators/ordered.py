@@ -43,16 +43,19 @@ def ordered_scan(
     row_number: str | None = None,
     running: dict[str, Column] | None = None,
     following: dict[str, str] | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Row number, running sums and next-row values per group.
 
     ``order`` must end in a column that is unique within the group, so that the result is
     defined. ``running`` maps a new column to the summed expression (rows frame from the start
     of the group), ``following`` maps a new column to the column whose next value it shows.
+    ``max_group_rows=None`` skips the measurement where the groups are small by construction.
     """
     running, following = running or {}, following or {}
     by = _ordering(order)
+    if max_group_rows is None:
+        return _plain_scan(df, keys, by, row_number, running, following)
     largest, total = group_sizes(df, keys)
     if largest <= max_group_rows:
         return _plain_scan(df, keys, by, row_number, running, following)

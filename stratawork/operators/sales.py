@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import amount_band, price_after_discount, price_tier
 from ..functions.numbers import cents, from_cents, money_mean, money_sum, ratio
+from ..workspace import durable
 
 
 def enhance(df: DataFrame) -> DataFrame:
@@ -77,12 +78,14 @@ def revenue(df: DataFrame, keys: list, amount: str = "total_amount", name: str =
 
 
 def share_of_total(grouped: DataFrame, amount: str, name: str) -> DataFrame:
-    """Percentage of the grand total as a scalar subquery over the grouped rows.
+    """Percentage of the grand total.
 
-    A window without partitions would pull every group into one task.
+    The grouped rows are written once, so that neither the total nor the shares repeat the work
+    behind them. A window without partitions would pull every group into one task instead.
     """
-    total = grouped.agg(F.sum(amount).cast("double")).scalar()
-    return grouped.withColumn(name, F.try_divide(F.col(amount).cast("double") * 100.0, total))
+    kept = durable(grouped, "grouped")
+    total = kept.agg(F.sum(amount).cast("double")).scalar()
+    return kept.withColumn(name, F.try_divide(F.col(amount).cast("double") * 100.0, total))
 
 
 def lifetime(df: DataFrame, key: str = "customer_id", amount: str = "total_amount") -> DataFrame:

@@ -153,7 +153,8 @@ def stock_validation(spark, sf):
 @query(
     "event_price_validation",
     "WITH days AS (SELECT event_type, CAST(ts AS DATE) AS date, count(*) AS copies FROM events GROUP BY 1, 2)"
-    " SELECT CAST(sum(copies) AS BIGINT) AS total_records, 0 AS null_symbols, 0 AS null_dates, 0 AS null_closes,"
+    " SELECT CAST(sum(copies) AS BIGINT) AS total_records, 0::BIGINT AS null_symbols, 0::BIGINT AS null_dates,"
+    " 0::BIGINT AS null_closes,"
     " (SELECT count(*) FROM events WHERE value - 5 < 0) AS negative_prices,"
     " (SELECT count(*) FROM events WHERE value - 1 < value - 5) AS invalid_ranges,"
     " count(*) FILTER (copies > 1) AS duplicates, false AS is_valid FROM days",

@@ -265,7 +265,7 @@ _PAGES = "source bigint, page_no bigint, data array<struct<customer_id: bigint,
 
 @query(
     "paged_concat",
-    "SELECT c_nationkey AS source, page_no, c_custkey AS customer_id, c_name AS name, c_acctbal AS lifetime_value"
+    "SELECT CAST(c_nationkey AS BIGINT) AS source, page_no, c_custkey AS customer_id, c_name AS name, c_acctbal AS lifetime_value"
     " FROM (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 20 AS page_no"
     " FROM customer) WHERE page_no < 1 + c_nationkey % 3",
 )

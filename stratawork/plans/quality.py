@@ -281,7 +281,7 @@ def schema_violations(spark, sf):
 @query(
     "freshness_check",
     "SELECT CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS newest_date,"
-    " date_diff('day', max(CAST(ts AS DATE)), DATE '2024-02-15') AS age_days,"
+    " CAST(date_diff('day', max(CAST(ts AS DATE)), DATE '2024-02-15') AS INTEGER) AS age_days,"
     " date_diff('day', max(CAST(ts AS DATE)), DATE '2024-02-15') <= 10 AS is_fresh FROM events",
 )
 def freshness_check(spark, sf):

@@ -577,7 +577,7 @@ def running_total_range(spark, sf):
 @query(
     "top3_per_segment",
     WITH_ORDERS
-    + "SELECT customer_id, customer_segment, total_amount, customer_rank,"
+    + "SELECT customer_id, customer_segment, total_amount, CAST(customer_rank AS INTEGER) AS customer_rank,"
     " CAST(running_total AS DOUBLE) AS running_total FROM (SELECT *,"
     " row_number() OVER w AS customer_rank, sum(CAST(total_amount AS DECIMAL(18,2))) OVER"
     " (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total FROM order_sales"
@@ -590,7 +590,11 @@ def top3_per_segment(spark, sf):
     order = [F.desc("total_amount"), "transaction_id"]
     best = top_rows(df, ["customer_segment"], order, 3, "customer_rank")
     totals = ordered_scan(
-        best, ["customer_segment"], ["customer_rank"], running={"running_total": cents("total_amount")}
+        best,
+        ["customer_segment"],
+        ["customer_rank"],
+        running={"running_total": cents("total_amount")},
+        max_group_rows=None,
     )
     return totals.drop("transaction_id").withColumn("running_total", from_cents("running_total"))
 
@@ -624,7 +628,7 @@ def schema_evolution_union(spark, sf):
 
 @query(
     "append_duplicates_report",
-    "SELECT event_id, 2 AS copies FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
+    "SELECT event_id, 2::BIGINT AS copies FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
 )
 def append_duplicates_report(spark, sf):
     """What a blind re-append of the newest half of the events would duplicate."""
