@@ -65,6 +65,9 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def having_key_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``other``; a semi join, so no row is multiplied."""
-    return df.join(other.select(key), key, "left_semi")
+    """Rows whose key occurs in ``other``; a semi join, so no row is multiplied.
+
+    The keys are made distinct first, which folds repeated keys on the map side.
+    """
+    return df.join(other.select(key).distinct(), key, "left_semi")
 
