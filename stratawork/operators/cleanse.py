@@ -28,7 +28,7 @@ def remove_duplicates(
     if not order_by:
         return df.dropDuplicates(subset) if subset else df.dropDuplicates()
     keys = subset or df.columns
-    order = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in order_by]
+    order = [c if keep == "first" else f"-{c}" for c in order_by]
     return top_rows(df, keys, order, 1, "__copy").drop("__copy")
 
 

@@ -1,14 +1,20 @@
 """Ordered per-group calculations that survive groups too large for one task.
 
 A Spark window puts a whole group into one task. That is fine for ordinary groups and is
-used for them. When the largest group is above ``max_group_rows`` the rows are cut by range
-into ordered slices, each slice is scanned on its own, and what the earlier slices of the
-group contribute (one summary row per slice) is added afterwards. No row is dropped and both
-ways give the same result.
+used for them. The rows of groups above ``max_group_rows`` are cut by range into ordered
+slices, each slice is scanned on its own, and what the earlier slices of the group contribute
+(one summary row per slice) is added afterwards. No row is dropped and both ways give the
+same result.
+
+Order columns are named; a leading ``-`` means descending. NULLs come first in ascending and
+last in descending order, as in Spark.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..workspace import durable
@@ -20,150 +26,177 @@ MAX_SLICES = 10_000
 _SLICE = "__slice"
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows in the biggest group and in all groups: map-side counts, two numbers to the driver."""
-    counts = df.groupBy(*keys).count()
-    return tuple(counts.agg(*[F.coalesce(f("count"), F.lit(0)) for f in (F.max, F.sum)]).first())
+@dataclass
+class Wanted:
+    """The columns a scan adds."""
 
+    row_number: str | None = None
+    rank: str | None = None
+    dense_rank: str | None = None
+    running: dict[str, Column] = field(default_factory=dict)
+    following: dict[str, str] = field(default_factory=dict)
 
-def slices_for(total_rows: int, max_group_rows: int) -> int:
-    """Enough slices that each is well below the group limit."""
-    return min(MAX_SLICES, 1 + 2 * total_rows // max(1, max_group_rows))
+    @property
+    def names(self) -> list[str]:
+        single = (self.row_number, self.rank, self.dense_rank)
+        return [*self.running, *self.following, *[n for n in single if n]]
+
+    @property
+    def peers(self) -> bool:
+        return bool(self.rank or self.dense_rank)
+
+
+def _is_descending(name: str) -> bool:
+    return name.startswith("-")
+
+
+def _ordering(order: list[str]) -> list[Column]:
+    return [F.col(o[1:]).desc() if _is_descending(o) else F.col(o).asc() for o in order]
 
 
-def _ordering(order: list) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
+def slices_for(rows: int, max_group_rows: int) -> int:
+    """Enough slices that each is well below the group limit."""
+    return min(MAX_SLICES, 1 + 2 * rows // max(1, max_group_rows))
 
 
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
-    order: list,
+    order: list[str],
     *,
     row_number: str | None = None,
+    rank: str | None = None,
+    dense_rank: str | None = None,
     running: dict[str, Column] | None = None,
     following: dict[str, str] | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Row number, running sums and next-row values per group.
+    """Positions, running sums and next-row values per group.
 
     ``order`` must end in a column that is unique within the group, so that the result is
-    defined. ``running`` maps a new column to the summed expression (rows frame from the start
-    of the group), ``following`` maps a new column to the column whose next value it shows.
-    ``max_group_rows=None`` skips the measurement where the groups are small by construction.
+    defined. ``rank`` and ``dense_rank`` follow the first order column alone. ``running`` maps a
+    new column to the summed expression (rows frame from the start of the group), ``following``
+    maps a new column to the column whose next value it shows. ``max_group_rows=None`` skips the
+    measurement where the groups are small by construction.
     """
-    running, following = running or {}, following or {}
-    by = _ordering(order)
+    want = Wanted(row_number, rank, dense_rank, running or {}, following or {})
     if max_group_rows is None:
-        return _plain_scan(df, keys, by, row_number, running, following)
-    largest, total = group_sizes(df, keys)
-    if largest <= max_group_rows:
-        return _plain_scan(df, keys, by, row_number, running, following)
-    slices = slices_for(total, max_group_rows)
-    return _sliced_scan(df, keys, by, row_number, running, following, slices)
-
-
-def _plain_scan(df, keys, by, row_number, running, following) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*by)
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added = {name: F.sum(expr).over(so_far) for name, expr in running.items()}
-    added |= {name: F.lead(column).over(window) for name, column in following.items()}
-    if row_number:
-        added[row_number] = F.row_number().over(window).cast("long")
-    return df.withColumns(added)
-
-
-def _sliced_scan(df, keys, by, row_number, running, following, slice_count) -> DataFrame:
+        return _plain_scan(df, keys, order, want)
+    # Map-side counts; two numbers reach the driver.
+    large = df.groupBy(*keys).count().filter(F.col("count") > max_group_rows)
+    groups, rows = large.agg(F.count("*"), F.sum("count")).first()
+    if not groups:
+        return _plain_scan(df, keys, order, want)
+    # At most rows / max_group_rows keys are hot, which bounds what is broadcast here.
+    hot_keys = durable(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]), "hot-keys")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+    hot = df.join(F.broadcast(hot_keys), same, "left_semi")
+    rest = df.join(F.broadcast(hot_keys), same, "left_anti")
+    sliced = _sliced_scan(hot, keys, order, want, slices_for(rows, max_group_rows))
+    return _plain_scan(rest, keys, order, want).unionByName(sliced)
+
+
+def _local_columns(keys: list[str], order: list[str], want: Wanted) -> dict[str, Column]:
+    full = Window.partitionBy(*keys).orderBy(*_ordering(order))
+    so_far = full.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    peers = Window.partitionBy(*keys).orderBy(*_ordering(order[:1]))
+    added = {name: F.sum(expr).over(so_far) for name, expr in want.running.items()}
+    added |= {name: F.lead(column).over(full) for name, column in want.following.items()}
+    if want.row_number:
+        added[want.row_number] = F.row_number().over(full).cast("long")
+    if want.rank:
+        added[want.rank] = F.rank().over(peers).cast("long")
+    if want.dense_rank:
+        added[want.dense_rank] = F.dense_rank().over(peers).cast("long")
+    return added
+
+
+def _plain_scan(df: DataFrame, keys: list[str], order: list[str], want: Wanted) -> DataFrame:
+    return df.withColumns(_local_columns(keys, order, want))
+
+
+def _sliced_scan(df: DataFrame, keys: list[str], order: list[str], want: Wanted, slices: int) -> DataFrame:
     # The slice number must be the same for every reader below, hence the written stage.
-    ranged = df.repartitionByRange(slice_count, *[F.col(k) for k in keys], *by)
-    sliced = durable(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
-
-    window = Window.partitionBy(*keys, _SLICE).orderBy(*by)
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = {"__local_row": F.row_number().over(window).cast("long")}
-    local |= {name: F.sum(expr).over(so_far) for name, expr in running.items()}
-    local |= {name: F.lead(column).over(window) for name, column in following.items()}
-    scanned = sliced.withColumns(local)
-
-    # One row per group and slice: at most (partitions + groups) rows in all.
-    totals = [F.count("*").alias("__rows")]
-    totals += [F.sum(expr).alias(f"__sum_{name}") for name, expr in running.items()]
-    slices = sliced.groupBy(*keys, _SLICE).agg(*totals)
-    if following:
-        heads = scanned.filter("__local_row = 1").select(
-            *keys, _SLICE, *[F.col(c).alias(f"__head_{n}") for n, c in following.items()]
+    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *_ordering(order))
+    scanned = durable(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+
+    by_slice = [*keys, _SLICE]
+    local = Wanted(
+        "__row",
+        "__rank" if want.peers else None,
+        "__dense" if want.peers else None,
+        {f"__sum_{n}": e for n, e in want.running.items()},
+        {f"__next_{n}": c for n, c in want.following.items()},
+    )
+    source, scanned = scanned, scanned.withColumns(_local_columns(by_slice, order, local))
+    if want.peers or want.following:
+        source = scanned = durable(scanned, "scanned")
+    offsets = _slice_offsets(source, keys, order, want)
+
+    joined = join_null_safe(scanned, offsets, by_slice)
+    result = {}
+    for name in want.running:
+        here, earlier = F.col(f"__sum_{name}"), F.col(f"__before_{name}")
+        result[name] = F.coalesce(here + earlier, here, earlier)
+    for name in want.following:
+        is_last = F.col("__row") == F.col("__rows")
+        result[name] = F.when(is_last, F.col(f"__head_{name}")).otherwise(F.col(f"__next_{name}"))
+    if want.row_number:
+        result[want.row_number] = F.col("__row") + F.col("__rows_before")
+    if want.rank:
+        starts_slice = F.col("__rank") == 1
+        result[want.rank] = F.when(starts_slice, F.col("__first_start")).otherwise(
+            F.col("__rank") + F.col("__rows_before")
         )
-        slices = join_null_safe(slices, heads, [*keys, _SLICE])
+    if want.dense_rank:
+        result[want.dense_rank] = F.col("__dense") + F.col("__values_before")
+    return joined.withColumns(result).select(*df.columns, *want.names)
+
+
+def _slice_offsets(scanned: DataFrame, keys: list[str], order: list[str], want: Wanted) -> DataFrame:
+    """What precedes each slice of each group; at most (slices + groups) rows."""
+    totals = {"__rows": F.count("*")}
+    totals |= {f"__sum_{n}": F.sum(e) for n, e in want.running.items()}
+    totals |= {f"__head_{n}": F.max(F.when(F.col("__row") == 1, F.col(c))) for n, c in want.following.items()}
+    if want.peers:
+        value = order[0].removeprefix("-")
+        missing, low, high = F.count_if(F.col(value).isNull()) > 0, F.min(value), F.max(value)
+        with_null = F.when(~missing, low)
+        first, last = (high, with_null) if _is_descending(order[0]) else (with_null, high)
+        totals |= {"__first": first, "__last": last, "__last_rank": F.max("__rank"), "__values": F.max("__dense")}
+    slices = scanned.groupBy(*keys, _SLICE).agg(*[e.alias(n) for n, e in totals.items()])
+
     along = Window.partitionBy(*keys).orderBy(_SLICE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     carried = {"__rows_before": F.coalesce(F.sum("__rows").over(before), F.lit(0))}
-    carried |= {f"__before_{n}": F.sum(f"__sum_{n}").over(before) for n in running}
-    carried |= {f"__next_{n}": F.lead(f"__head_{n}").over(along) for n in following}
-    offsets = slices.withColumns(carried).select(*keys, _SLICE, "__rows", *carried)
-
-    joined = join_null_safe(scanned, offsets, [*keys, _SLICE])
-    result = {}
-    for name in running:
-        earlier = F.col(f"__before_{name}")
-        result[name] = F.coalesce(F.col(name) + earlier, F.col(name), earlier)
-    for name in following:
-        last = F.col("__local_row") == F.col("__rows")
-        result[name] = F.when(last, F.col(f"__next_{name}")).otherwise(F.col(name))
-    if row_number:
-        result[row_number] = F.col("__local_row") + F.col("__rows_before")
-    added = [n for n in [*running, *following, row_number] if n]
-    return joined.withColumns(result).select(*df.columns, *[n for n in added if n not in df.columns])
-
-
-def ranked(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    tiebreak: list[str],
-    *,
-    descending: bool = True,
-    rank: str | None = None,
-    dense_rank: str | None = None,
-    row_number: str | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """SQL ``rank``, ``dense_rank`` and ``row_number`` of ``value`` within each group."""
-    by = F.col(value).desc() if descending else F.col(value).asc()
-    if group_sizes(df, keys)[0] <= max_group_rows:
-        peers = Window.partitionBy(*keys).orderBy(by)
-        added = {}
-        if rank:
-            added[rank] = F.rank().over(peers).cast("long")
-        if dense_rank:
-            added[dense_rank] = F.dense_rank().over(peers).cast("long")
-        if row_number:
-            full = Window.partitionBy(*keys).orderBy(by, *tiebreak)
-            added[row_number] = F.row_number().over(full).cast("long")
-        return df.withColumns(added)
-
-    # Equal values fold into one counted row before anything is ordered.
-    distinct = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    placed = ordered_scan(
-        distinct,
-        keys,
-        [by],
-        row_number="__dense",
-        running={"__upto": F.col("__n")},
-        max_group_rows=max_group_rows,
-    )
-    names = [n for n in (rank, dense_rank, row_number) if n]
-    source = df
-    if row_number:
-        source = ordered_scan(
-            df, keys, [by, *tiebreak], row_number=row_number, max_group_rows=max_group_rows
+    carried |= {f"__before_{n}": F.sum(f"__sum_{n}").over(before) for n in want.running}
+    carried |= {f"__head_{n}": F.lead(f"__head_{n}").over(along) for n in want.following}
+    offsets = slices.withColumns(carried)
+    if want.peers:
+        # Equal values may lie across a cut: such a slice continues the peers of the one before.
+        continues = F.col("__first").eqNullSafe(F.lag("__last").over(along)) & F.lag("__rows").over(along).isNotNull()
+        offsets = offsets.withColumns(
+            {
+                "__continues": F.coalesce(continues, F.lit(False)),
+                "__last_start": F.min(F.col("__rows_before") + F.col("__last_rank")).over(
+                    Window.partitionBy(*keys, "__last")
+                ),
+            }
+        )
+        upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        values_before = F.coalesce(F.sum("__values").over(before), F.lit(0))
+        offsets = offsets.withColumns(
+            {
+                "__first_start": F.when(F.col("__continues"), F.lag("__last_start").over(along)).otherwise(
+                    F.col("__rows_before") + 1
+                ),
+                "__values_before": values_before - F.sum(F.col("__continues").cast("int")).over(upto),
+            }
         )
-    if not (rank or dense_rank):
-        return source
-    exprs = [F.col("__dense").alias(dense_rank)] if dense_rank else []
-    if rank:
-        exprs.append((F.col("__upto") - F.col("__n") + 1).alias(rank))
-    ranks = placed.select(*keys, value, *exprs)
-    return join_null_safe(source, ranks, [*keys, value]).select(*df.columns, *names)
+    kept = ["__rows", "__rows_before", *[f"__before_{n}" for n in want.running]]
+    kept += [f"__head_{n}" for n in want.following]
+    kept += ["__first_start", "__values_before"] if want.peers else []
+    return offsets.select(*keys, _SLICE, *kept)
 
 
 def running_total_of_peers(
@@ -186,7 +219,7 @@ def running_total_of_peers(
     return join_null_safe(df, totals, [*keys, order])
 
 
-def top_rows(df: DataFrame, keys: list[str], order: list, n: int, position: str = "position") -> DataFrame:
+def top_rows(df: DataFrame, keys: list[str], order: list[str], n: int, position: str = "position") -> DataFrame:
     """First ``n`` rows of each group.
 
     Spark cuts every map task to ``n`` rows per group before the shuffle (WindowGroupLimit),

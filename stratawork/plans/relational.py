@@ -12,7 +12,7 @@ from ..operators import sales as op
 from ..operators.cleanse import clean_sales
 from ..operators.joins import having_key_in, lookup
 from ..operators.merge import passes_rules, rows_after, union_widening
-from ..operators.ordered import ordered_scan, ranked, running_total_of_peers, top_rows
+from ..operators.ordered import ordered_scan, running_total_of_peers, top_rows
 from ..operators.quality import null_profile
 from .registry import query
 from .views import (
@@ -514,11 +514,10 @@ def self_key_semi(spark, sf):
 )
 def rank_in_store(spark, sf):
     df = order_sales(spark, sf, "transaction_id", "store_location", "total_amount")
-    return ranked(
+    return ordered_scan(
         df,
         ["store_location"],
-        "total_amount",
-        ["transaction_id"],
+        ["-total_amount", "transaction_id"],
         rank="rank_in_store",
         row_number="row_num_in_store",
     )
@@ -535,13 +534,14 @@ def rank_family(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("order_date"), "o_totalprice"
     )
-    placed = ranked(
-        orders, ["o_orderpriority"], "order_date", ["o_orderkey"], descending=False, dense_rank="date_rank"
+    placed = ordered_scan(
+        orders,
+        ["o_orderpriority"],
+        ["order_date", "o_orderkey"],
+        dense_rank="date_rank",
+        following={"next_price": "o_totalprice"},
     )
-    followed = ordered_scan(
-        placed, ["o_orderpriority"], ["order_date", "o_orderkey"], following={"next_price": "o_totalprice"}
-    )
-    return followed.drop("o_totalprice")
+    return placed.drop("o_totalprice")
 
 
 @query(
@@ -587,8 +587,7 @@ def running_total_range(spark, sf):
 def top3_per_segment(spark, sf):
     """The cut to three rows comes first; the running total then sees three rows per segment."""
     df = order_sales(spark, sf, "transaction_id", "customer_id", "customer_segment", "total_amount")
-    order = [F.desc("total_amount"), "transaction_id"]
-    best = top_rows(df, ["customer_segment"], order, 3, "customer_rank")
+    best = top_rows(df, ["customer_segment"], ["-total_amount", "transaction_id"], 3, "customer_rank")
     totals = ordered_scan(
         best,
         ["customer_segment"],
