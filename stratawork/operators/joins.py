@@ -53,15 +53,19 @@ def lookup(
     return facts.join(side, facts[fact_key] == side[dimension_key], how).drop(side[dimension_key])
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which NULL keys match; the keys appear once."""
-    renamed = right.select(
-        *[F.col(f"`{c}`").alias(f"__right_{c}" if c in keys else c) for c in right.columns]
-    )
-    match = reduce(
-        lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(renamed[f"`__right_{k}`"]) for k in keys]
-    )
-    return left.join(renamed, match, how).drop(*[f"__right_{k}" for k in keys])
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", broadcast: bool = False
+) -> DataFrame:
+    """Equi-join in which NULL keys match; the keys appear once.
+
+    ``broadcast`` is for a right side whose size the caller has bounded.
+    """
+    names = [f"__right_{c}" if c in keys else c for c in right.columns]
+    side = right.toDF(*names)
+    same = [left[f"`{k}`"].eqNullSafe(side[f"`__right_{k}`"]) for k in keys]
+    match = reduce(lambda a, b: a & b, same)
+    joined = left.join(F.broadcast(side) if broadcast else side, match, how)
+    return joined.drop(*[f"__right_{k}" for k in keys])
 
 
 def having_key_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -70,4 +74,3 @@ def having_key_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     The keys are made distinct first, which folds repeated keys on the map side.
     """
     return df.join(other.select(key).distinct(), key, "left_semi")
-

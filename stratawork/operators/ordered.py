@@ -133,7 +133,8 @@ def _sliced_scan(df: DataFrame, keys: list[str], order: list[str], want: Wanted,
         source = scanned = durable(scanned, "scanned")
     offsets = _slice_offsets(source, keys, order, want)
 
-    joined = join_null_safe(scanned, offsets, by_slice)
+    # Hot groups and slices are both bounded, and with them the offsets.
+    joined = join_null_safe(scanned, offsets, by_slice, broadcast=True)
     result = {}
     for name in want.running:
         here, earlier = F.col(f"__sum_{name}"), F.col(f"__before_{name}")

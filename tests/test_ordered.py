@@ -52,6 +52,13 @@ def test_sliced_scan_equals_window(skewed, rows, descending):
     assert rows(got) == rows(want)
 
 
+def test_offsets_are_broadcast_and_slices_are_not_shuffled_again(skewed):
+    df = ordered.ordered_scan(skewed, ["k"], ["id"], running={"t": amount()}, max_group_rows=500)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 2
+
+
 def test_small_groups_use_plain_window(skewed, plan_of):
     df = ordered.ordered_scan(skewed, ["k"], ["id"], row_number="rn")
     assert "__slice" not in plan_of(df)
