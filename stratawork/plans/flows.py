@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..catalog import save_files
 from ..operators.campaigns import campaign_metrics, campaign_totals
 from ..operators.cleanse import clean_orders
+from ..operators.profile import counted, run_record
+from ..operators.quality import route_by_status, with_quality_score
 from ..operators.sales import revenue
 from ..sources.files import with_lineage
 from ..workspace import new_folder
@@ -46,3 +51,27 @@ def campaign_performance(raw: DataFrame, layers: LayerFolders) -> DataFrame:
     bronze = layers.write(with_lineage(raw, source_api="campaigns_api"), "bronze")
     silver = layers.write(campaign_metrics(bronze), "silver")
     return layers.write(campaign_totals(silver), "gold")
+
+
+def customer_quality(raw: DataFrame, layers: LayerFolders, checks: dict[str, Column]) -> DataFrame:
+    """Score customers, keep the good and the flagged, quarantine the failed; returns the run record.
+
+    The scored rows are written once and read by both routes. Row counts are observed while the
+    rows are written, without further passes.
+    """
+    started = datetime.now(timezone.utc)
+    scored_rows, seen = counted(with_quality_score(raw, checks), "input")
+    kept_rows, failed_rows = route_by_status(layers.write(scored_rows, "scored"))
+    kept_rows, kept = counted(kept_rows, "kept")
+    failed_rows, failed = counted(failed_rows, "failed")
+    layers.write(kept_rows, "silver")
+    layers.write(failed_rows, "quarantine")
+    return run_record(
+        layers.spark,
+        str(uuid.uuid4()),
+        "customer_quality",
+        started,
+        records_input=seen.get["rows"],
+        records_output=kept.get["rows"],
+        records_failed=failed.get["rows"],
+    )

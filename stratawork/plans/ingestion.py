@@ -10,6 +10,7 @@ from ..catalog import save_files
 from ..functions.times import instant_from_utc, utc_from_instant
 from ..operators import nested
 from ..operators.ordered import paged_lists
+from ..operators.quality import customer_checks
 from ..sources.files import (
     file_manifest,
     file_size_audit,
@@ -30,10 +31,19 @@ from ..streaming.jobs import (
 from ..workspace import new_folder
 from . import flows
 from .finance import _METRICS_SQL
-from .quality import GOLD_ORDERS_SQL, daily_order_gold
+from .quality import GOLD_ORDERS_SQL, _SCORED_SQL, daily_order_gold
 from .registry import query
 from .relational import _DAILY_SQL
-from .views import JSON_LINES_SCHEMA, campaigns, json_lines, nested_orders, raw_orders, sales, table
+from .views import (
+    JSON_LINES_SCHEMA,
+    campaigns,
+    dirty_customers,
+    json_lines,
+    nested_orders,
+    raw_orders,
+    sales,
+    table,
+)
 
 
 # File formats: a table goes out to files and comes back through the reader under test.
@@ -276,7 +286,8 @@ def paged_concat(spark, sf):
         F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("lifetime_value"),
     )
-    full = paged_lists(table(spark, sf, "customer"), ["c_nationkey"], ["c_custkey"], customer, page_rows=20, name="data")
+    customers = table(spark, sf, "customer")
+    full = paged_lists(customers, ["c_nationkey"], ["c_custkey"], customer, page_rows=20, name="data")
     is_end = F.col("page_no") == 1 + F.col("c_nationkey") % 3
     responses = full.select(
         F.col("c_nationkey").cast("bigint").alias("source"),
@@ -363,6 +374,18 @@ def campaign_flow(spark, sf):
     return flows.campaign_performance(campaigns(spark, sf), flows.LayerFolders(spark, "campaigns"))
 
 
+@query(
+    "quality_flow_run",
+    f"WITH {_SCORED_SQL} SELECT 'SUCCESS' AS status, count(*) AS records_input,"
+    " count(*) FILTER (quality_status <> 'FAILED') AS records_output,"
+    " count(*) FILTER (quality_status = 'FAILED') AS records_failed FROM scored",
+)
+def quality_flow_run(spark, sf):
+    layers = flows.LayerFolders(spark, "customers")
+    run = flows.customer_quality(dirty_customers(spark, sf), layers, customer_checks())
+    return run.select("status", "records_input", "records_output", "records_failed")
+
+
 # Streams over the events table
 
 

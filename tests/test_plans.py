@@ -18,7 +18,7 @@ QUERIES = contract.queries()
 LAZY = [
     n
     for n in sorted(QUERIES)
-    if not re.match(r"stream_|scan_csv|scan_json|file_to_gold|medallion|campaign_flow|api_|paged|partition_pruned", n)
+    if not re.match(r"stream_|scan_csv|scan_json|file_to_gold|quality_flow|medallion|campaign_flow|api_|paged|partition_pruned", n)
 ]
 
 
