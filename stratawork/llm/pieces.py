@@ -20,14 +20,15 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words whose ids a worker remembers; further words are encoded each time they come.
+#: Words whose ids a worker remembers in each of two generations; the older one is forgotten as the
+#: younger fills up, and words met again move to the younger.
 MEMORY_WORDS = 250_000
 #: Longer words are not remembered.
 WORD_CHARS = 48
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Latin-1 letters, then marks: two words of either pattern, untouched by NFC.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Letters that NFC leaves alone and that any version of Unicode calls letters.
+LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -50,13 +51,20 @@ class _Memory(dict):
     def __init__(self, compute):
         super().__init__()
         self.compute = compute
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Blank
-        ids = self.compute(word)
-        if len(self) < MEMORY_WORDS and len(word) <= WORD_CHARS:
-            self[word] = ids
+        ids = self.old.get(word)
+        if ids is None:
+            if not word or word[0].isspace() or word[-1].isspace():
+                raise _Blank
+            ids = self.compute(word)
+            if len(word) > WORD_CHARS:
+                return ids
+        if len(self) >= MEMORY_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
 
@@ -71,6 +79,9 @@ class PieceEncoder:
         self.kind = _kind(path)
         self.alphabet = byte_alphabet()
         self.lead = " " if self.kind == "byte" else ""
+        self.glue = self.lead.translate(self.alphabet)
+        self.split = self.tokenizer.model.tokenize
+        self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.memory = _Memory(self._word)
 
     def ids(self, text: str | None) -> bytes:
@@ -91,19 +102,25 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        plain = PLAIN.fullmatch(word)
-        if not plain:
-            return self._library(self.lead + word)
-        letters, marks = plain.groups()
+        """Letters, perhaps with one kind of mark behind them, go straight to the model as one or two words."""
+        marks = ""
+        if not word.isalpha():
+            if word[-1] not in ".,;:!?":
+                return self._library(self.lead + word)
+            letters = word.rstrip(".,;:!?")
+            if not letters.isalpha():
+                return self._library(self.lead + word)
+            word, marks = letters, word[len(letters) :]
+        if not word.isascii() and not LATIN.fullmatch(word):
+            return self._library(self.lead + word + marks)
         if self.kind == "word":
-            letters = letters.lower()
-        tokens = self.tokenizer.model.tokenize(self._mapped(self.lead + letters))
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.alphabet)
+        tokens = self.split(self.glue + word)
         if marks:
-            tokens += self.tokenizer.model.tokenize(self._mapped(marks))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
-
-    def _mapped(self, text: str) -> str:
-        return text.encode().decode("latin-1").translate(self.alphabet)
+            tokens += self.split(marks)
+        return b"".join([self.packed[t.id] for t in tokens])
 
 
 def _kind(path: str) -> str | None:
@@ -113,6 +130,8 @@ def _kind(path: str) -> str | None:
     for token in spec.get("added_tokens") or []:
         if re.search(r"\s", token["content"]) or token["lstrip"] or token["rstrip"] or token["normalized"]:
             return None
+        if not re.search(r"[^\w.,;:!?]", token["content"]):
+            return None
     if spec["model"]["type"] != "BPE" or spec["model"].get("dropout"):
         return None
     normal, before = spec.get("normalizer"), spec.get("pre_tokenizer") or {}

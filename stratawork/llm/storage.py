@@ -63,12 +63,19 @@ class Rows:
         return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
-def text_rows(batches, key: str = "id", text: str = "text"):
-    """(key, text) of each row of the Arrow batches; a few hundred rows at a time become Python objects."""
+def text_rows(batches, key: str | tuple[str, ...], text: str = "text"):
+    """(key, text) of each row of the Arrow batches; a few hundred rows at a time become Python objects.
+
+    With several key columns the key is a tuple.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            yield from zip(part.column(key).to_pylist(), part.column(text).to_pylist())
+            if isinstance(key, str):
+                keys = part.column(key).to_pylist()
+            else:
+                keys = list(zip(*[part.column(k).to_pylist() for k in key]))
+            yield from zip(keys, part.column(text).to_pylist())
 
 
 def numbered(df: DataFrame, order: list[Column], label: str) -> DataFrame:
