@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, token_counts, token_files
+from . import cover_tree, line_dedup, mixing, packing, simhash, token_counts, token_files, top_k
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -42,3 +42,31 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query
+def op1_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k_of_every(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+@query
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked(table(spark, sf_dir, "embeddings"), 0.93)

@@ -114,13 +114,18 @@ def bucket_keys(fps: np.ndarray, upper: np.ndarray, errors: np.ndarray) -> tuple
     return np.concatenate(rows), np.concatenate(buckets)
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of signed 64-bit words."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _stars(fps: np.ndarray, distance: int, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Star edges of the links among ``fps``; with ``split`` only of links across that position."""
     left, right = [], []
     for at in range(0, len(fps) if split is None else split, 512):
         rows = fps[at : at + 512] if split is None else fps[at : min(at + 512, split)]
         cols = fps if split is None else fps[split:]
-        i, j = np.nonzero(np.bitwise_count(rows[:, None] ^ cols[None, :]) <= distance)
+        i, j = np.nonzero(differing(rows[:, None], cols[None, :]) <= distance)
         left.append(i + at)
         right.append(j + (split or 0))
     low, other = star_edges(np.concatenate(left), np.concatenate(right), len(fps))
@@ -206,7 +211,7 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
             same = np.nonzero(key[step:] == key[:-step])[0]
             if not len(same):
                 break
-            near = same[np.bitwise_count(fp[same] ^ fp[same + step]) <= distance]
+            near = same[differing(fp[same], fp[same + step]) <= distance]
             if len(near):
                 yield edges(fp[near], fp[near + step])
 

@@ -13,13 +13,31 @@ BATCH_BYTES = 8 << 20
 ROW_BITS = 33
 
 
+#: Lets Spark remove a query's shuffle files as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, path: str) -> str:
+    """Write ``df`` as parquet; its shuffle files, which nothing reads again, go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            conf.unset(CLEANUP)
+        else:
+            conf.set(CLEANUP, before)
+    return path
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives all readers the same rows.
     """
-    path = new_folder(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    path = written(df, new_folder(df.sparkSession, label))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from stratawork.workspace import new_folder
 
 from .pieces import encoder
-from .storage import ROW_BITS, Rows, kept, text_rows
+from .storage import ROW_BITS, Rows, kept, text_rows, written
 
 # Fixed value: bytes of each of the four ids a control byte stands for.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -113,7 +113,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None = 0, f
 
     order = F.col("doc_id").asc_nulls_last()
     streams = tokens.mapInArrow(run, schema).repartitionByRange(order).sortWithinPartitions(order)
-    streams.withColumn("pos", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{folder}/streams")
+    written(streams.withColumn("pos", F.monotonically_increasing_id()), f"{folder}/streams")
     codes = spark.createDataFrame([(k, int(i)) for k, i in enumerate(ids)], "rank long, id long")
     codes.coalesce(1).write.parquet(f"{folder}/codes")
     return folder
