@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cover_tree, line_dedup, mixing, packing, simhash, token_counts, token_files, top_k
+from . import cover_tree, language, line_dedup, mixing, packing, simhash, token_counts, token_files, top_k, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -70,3 +70,30 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.linked(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query
+def op8_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language.held_out(docs, 5, 0)
+    model = language.fit(docs.filter(~out))
+    found = language.predict(docs, model)
+    return found.select("doc_id", language.held_out(found, 5, 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op10_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir))
+    return found.select(
+        "doc_id",
+        language.held_out(found, 3, 1).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= toxicity.CUT).cast("int").alias("predicted"),
+    )
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Learns from the labelled rows of ``docs`` that are not held out."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(docs.filter(~language.held_out(docs, 3, 1)), labels.filter(~language.held_out(labels, 3, 1)))
