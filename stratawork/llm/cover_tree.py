@@ -105,7 +105,7 @@ def _vectors(frame) -> np.ndarray:
     return np.array(frame.tolist(), np.float64)
 
 
-def _deal(points: DataFrame, cells: DataFrame) -> DataFrame:
+def _deal(points: DataFrame, cells: DataFrame, cell: int) -> DataFrame:
     """Points of nodes in ``cells`` (node, n) moved to children of these nodes."""
     near = points.join(cells, points["node"] == cells["big"], "left_semi")
     order = Window.partitionBy("node").orderBy(F.xxhash64("class_id"), "class_id")
@@ -117,7 +117,7 @@ def _deal(points: DataFrame, cells: DataFrame) -> DataFrame:
     def choose(sample: np.ndarray, n: int) -> np.ndarray:
         """Far-apart centres: each next one is the farthest from those before."""
         centres, away = [0], gap(sample @ sample[0])
-        while len(centres) < min(len(sample), CHILDREN, 2 * -(-n // CELL)):
+        while len(centres) < min(len(sample), CHILDREN, 2 * -(-n // cell)):
             centres.append(int(away.argmax()))
             away = np.minimum(away, gap(sample @ sample[centres[-1]]))
         return sample[centres]
@@ -138,21 +138,21 @@ def _deal(points: DataFrame, cells: DataFrame) -> DataFrame:
     return near.join(sample, near["node"] == sample["of"]).select("node", "class_id", "copies", "label", "vector", "n", "sample").mapInPandas(assign, schema)
 
 
-def _cells(points: DataFrame) -> DataFrame:
-    """Points with ``node`` split until no node has more than ``CELL``; nodes are paths from the label's root."""
+def _cells(points: DataFrame, cell: int) -> DataFrame:
+    """Points with ``node`` split until no node has more than ``cell``; nodes are paths from the label's root."""
     points = kept(points.withColumn("node", F.concat(F.lit("r"), F.xxhash64("label").cast("string"))), "tree-points")
     done = None
     while True:
-        sizes = points.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL)
+        sizes = points.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell)
         big = kept(sizes.withColumnRenamed("node", "big"), "tree-big")
         ready = points.join(big, points["node"] == big["big"], "left_anti")
         done = ready if done is None else done.unionByName(ready)
         if big.isEmpty():
             return done
-        points = kept(_deal(points, big), "tree-points")
+        points = kept(_deal(points, big, cell), "tree-points")
 
 
-def linked(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
+def linked(vectors: DataFrame, threshold: float = 0.93, cell: int = CELL) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row of ``vec_id``, ``embedding``, ``label``.
 
     Rows link if their labels are equal and not NULL and their cosine, in doubles, is at least ``threshold``
@@ -170,7 +170,7 @@ def linked(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     keyed = F.struct("label", F.size("vector").alias("dim")).alias("label")
     classes = good.groupBy(keyed, "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     classes = kept(classes.withColumn("class_id", F.monotonically_increasing_id()), "vector-classes")
-    cells = _cells(classes.select("class_id", "copies", F.col("label"), "vector"))
+    cells = _cells(classes.select("class_id", "copies", F.col("label"), "vector"), cell)
 
     def build(frame):
         import pandas as pd

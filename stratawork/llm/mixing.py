@@ -53,14 +53,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, m
     return ranked.select("source", "source_size", F.least("cap", F.col("weight") * F.lit(unit)).alias("target"))
 
 
-def draw(doc_id: str | Column, seed: Column) -> Column:
-    """A number from 0 to 2^32 - 1 from the document's id and a seed."""
+def hash_part(doc_id: str | Column, at: int) -> Column:
+    """Eight hexadecimal digits of the hash of the document's id, from digit ``at`` on, as a number."""
     digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-
-    def part(at: int) -> Column:
-        return F.conv(F.substring(digest, at, 8), 16, 10).cast("long")
-
-    return (part(1) + seed * part(9)) % F.lit(1 << 32)
+    return F.conv(F.substring(digest, at, 8), 16, 10).cast("long")
 
 
 def mix(
@@ -72,7 +68,8 @@ def mix(
     source without words has target 0 and no copies. Other columns are ignored.
     """
     sized = docs.select(F.col("doc_id"), "source", word_count("text").alias("size"))
-    sized = kept(sized.withColumn("r", draw("doc_id", F.lit(0))).withColumn("s", (draw("doc_id", F.lit(1)) - F.col("r")) % F.lit(1 << 32)), "sizes")
+    # seed k draws r + k * s, modulo 2^32
+    sized = kept(sized.withColumn("r", hash_part("doc_id", 1)).withColumn("s", hash_part("doc_id", 9)), "sizes")
     targets = source_targets(sized, weights, share, most)
     rate = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
     rates = targets.withColumn("whole", F.floor(rate).cast("long")).withColumn("part", (rate - F.floor(rate)) * F.lit(float(1 << 32)))

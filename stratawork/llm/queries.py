@@ -16,6 +16,16 @@ def query(function):
     return function
 
 
+def oracle(sql: str):
+    """Registers SQL that gives a query's rows."""
+
+    def register(function):
+        ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,17 +66,80 @@ def op2_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", "n_lines", "n_removed")
 
 
+@oracle("""
+WITH docs AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h,
+    CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END AS size
+  FROM documents
+), sizes AS (
+  SELECT doc_id, source, size, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS r, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS s FROM docs
+), totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
+), weights AS (
+  SELECT *, 2.0::DOUBLE * source_size AS cap,
+    [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM totals
+), filled AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(cap) OVER upto - cap AS held, sum(weight) OVER () - sum(weight) OVER upto + weight AS free
+  FROM weights WINDOW upto AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), unit AS (
+  SELECT (1.5::DOUBLE * total - held) / free AS unit FROM filled
+  WHERE weight * ((1.5::DOUBLE * total - held) / free) <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1
+), rates AS (
+  SELECT source, source_size, least(cap, weight * unit) AS target,
+    CASE WHEN source_size = 0 THEN 0 ELSE least(cap, weight * unit) / source_size END AS rate
+  FROM weights, unit
+), tried AS (
+  SELECT d.source, k.k, abs(sum(d.size * (floor(rate) + ((d.r + k.k * d.s) % 4294967296 < (rate - floor(rate)) * 4294967296.0::DOUBLE)::INT)) - any_value(target)) AS miss
+  FROM sizes d JOIN rates t ON d.source IS NOT DISTINCT FROM t.source, range(64) k(k) GROUP BY d.source, k.k
+), seeds AS (
+  SELECT source, k FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, k) = 1
+)
+SELECT d.doc_id, d.size, t.source_size, t.target,
+  CAST(d.size * (floor(rate) + ((d.r + e.k * d.s) % 4294967296 < (rate - floor(rate)) * 4294967296.0::DOUBLE)::INT) AS BIGINT) AS taken
+FROM sizes d JOIN rates t ON d.source IS NOT DISTINCT FROM t.source JOIN seeds e ON d.source IS NOT DISTINCT FROM e.source
+""")
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+#: Vectors without NULL and non-finite components; x is NULL or not finite exactly if x - x is not 0.
+FINE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: (x - x = 0) IS NOT TRUE)) = 0"
+
+
+@oracle(f"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE {FINE}
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+""")
 @query
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k_of_every(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+@oracle(f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE label IS NOT NULL AND {FINE}
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), roots AS (
+  SELECT a, min(b) AS root FROM reached GROUP BY a
+), degrees AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, root AS component_id, e.vec_id = root AS kept
+FROM embeddings e JOIN roots ON roots.a = e.vec_id LEFT JOIN degrees ON degrees.a = e.vec_id
+""")
 @query
 def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.linked(table(spark, sf_dir, "embeddings"), 0.93)

@@ -132,7 +132,7 @@ def _stars(fps: np.ndarray, distance: int, split: int | None = None) -> tuple[np
     return fps[low], fps[other]
 
 
-def links(fps: DataFrame, distance: int = 4) -> DataFrame:
+def links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
     """Edges ``a``, ``b`` between distinct fingerprints (column ``fp``) with the components of all links.
 
     Every link at ``distance`` (4 at most) or fewer bits lies inside a component of these edges, and
@@ -189,9 +189,9 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
                 end = np.searchsorted(key, held_key, "right")
                 held = np.concatenate([held, fp[:end]])
                 key, fp = key[end:], fp[end:]
-                while len(held) > BLOCK:
-                    yield from defer(held[:BLOCK])
-                    held, blocks = held[BLOCK:], blocks + 1
+                while len(held) > block:
+                    yield from defer(held[:block])
+                    held, blocks = held[block:], blocks + 1
         yield from close()
 
     def small_buckets(key, fp):
@@ -200,11 +200,11 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
         sizes = np.diff(np.r_[starts, len(key)])
         big = sizes > 8
         for at, n in zip(starts[big], sizes[big]):
-            for low in range(0, n, BLOCK):
-                yield edges(*_stars(fp[at + low : at + min(n, low + BLOCK)], distance))
-                for up in range(low + BLOCK, n, BLOCK):
-                    both = np.concatenate([fp[at + low : at + low + BLOCK], fp[at + up : at + min(n, up + BLOCK)]])
-                    yield edges(*_stars(both, distance, BLOCK))
+            for low in range(0, n, block):
+                yield edges(*_stars(fp[at + low : at + min(n, low + block)], distance))
+                for up in range(low + block, n, block):
+                    both = np.concatenate([fp[at + low : at + low + block], fp[at + up : at + min(n, up + block)]])
+                    yield edges(*_stars(both, distance, block))
         small = np.repeat(~big, sizes)
         key, fp = key[small], fp[small]
         for step in range(1, 8):
