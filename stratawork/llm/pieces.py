@@ -22,11 +22,13 @@ import numpy as np
 
 #: Words whose ids a worker remembers in each of two generations; the older one is forgotten as the
 #: younger fills up, and words met again move to the younger.
-MEMORY_WORDS = 250_000
+MEMORY_WORDS = 400_000
 #: Longer words are not remembered.
 WORD_CHARS = 48
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Marks that follow a word form one word of their own in both patterns.
+MARKS = "!#$%&*+,-./:;=?@^_`|~()[]{}"
 #: Letters that NFC leaves alone and that any version of Unicode calls letters.
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
@@ -82,6 +84,7 @@ class PieceEncoder:
         self.glue = self.lead.translate(self.alphabet)
         self.split = self.tokenizer.model.tokenize
         self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.line = self._library("\n")
         self.memory = _Memory(self._word)
 
     def ids(self, text: str | None) -> bytes:
@@ -102,24 +105,29 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Letters, perhaps with one kind of mark behind them, go straight to the model as one or two words."""
-        marks = ""
+        head, line, tail = word.partition("\n")
+        if line and head and tail and not tail[0].isspace() and not head[-1].isspace():
+            # one line break between two words: a word of its own, or dropped
+            if self.kind == "word":
+                return self.memory[head] + self.memory[tail]
+            return self.memory[head] + self.line + self._plain(tail, "", "")
+        return self._plain(word, self.lead, self.glue)
+
+    def _plain(self, word: str, lead: str, glue: str) -> bytes:
+        """Letters, perhaps with marks behind them, go straight to the model as one or two words."""
+        letters = word
         if not word.isalpha():
-            if word[-1] not in ".,;:!?":
-                return self._library(self.lead + word)
-            letters = word.rstrip(".,;:!?")
+            letters = word.rstrip(MARKS)
             if not letters.isalpha():
-                return self._library(self.lead + word)
-            word, marks = letters, word[len(letters) :]
-        if not word.isascii() and not LATIN.fullmatch(word):
-            return self._library(self.lead + word + marks)
-        if self.kind == "word":
-            word = word.lower()
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.alphabet)
-        tokens = self.split(self.glue + word)
-        if marks:
-            tokens += self.split(marks)
+                return self._library(lead + word)
+        shown = letters.lower() if self.kind == "word" else letters
+        if not letters.isascii():
+            if not LATIN.fullmatch(letters):
+                return self._library(lead + word)
+            shown = shown.encode().decode("latin-1").translate(self.alphabet)
+        tokens = self.split(glue + shown)
+        if letters is not word:
+            tokens += self.split(word[len(letters) :])
         return b"".join([self.packed[t.id] for t in tokens])
 
 
@@ -130,7 +138,8 @@ def _kind(path: str) -> str | None:
     for token in spec.get("added_tokens") or []:
         if re.search(r"\s", token["content"]) or token["lstrip"] or token["rstrip"] or token["normalized"]:
             return None
-        if not re.search(r"[^\w.,;:!?]", token["content"]):
+        # a special string is never letters with marks behind them
+        if token["content"].rstrip(MARKS).isalpha() or not token["content"].strip(MARKS):
             return None
     if spec["model"]["type"] != "BPE" or spec["model"].get("dropout"):
         return None

@@ -8,6 +8,8 @@ decoder looks each control byte up in a table of 256 rows and gathers all bytes
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -17,28 +19,45 @@ from .pieces import encoder
 from .storage import ROW_BITS, Rows, kept, text_rows, written
 
 # Fixed value: bytes of each of the four ids a control byte stands for.
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.int32)
 
 
 def encode_stream(codes: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit codes."""
     codes = np.ascontiguousarray(codes, "<u4")
-    spare = (codes > 0xFF).astype(np.uint8) + (codes > 0xFFFF) + (codes > 0xFFFFFF)
-    quads = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
-    quads[: len(codes)] = spare
-    quads = quads.reshape(-1, 4)
-    control = (quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6).astype(np.uint8)
-    used = np.arange(4, dtype=np.uint8) <= spare[:, None]
-    return control.tobytes(), codes.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    lengths = np.ones(len(codes), np.int32)
+    for byte in range(1, 4):
+        more = codes >= 1 << 8 * byte
+        if not more.any():
+            break
+        lengths += more
+    spare = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
+    spare[: len(codes)] = lengths - 1
+    quads = spare.reshape(-1, 4)
+    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    first = np.cumsum(lengths) - lengths
+    data = np.empty(int(lengths.sum()), np.uint8)
+    data[first] = codes & 255
+    for byte in range(1, 4):
+        more = np.nonzero(lengths > byte)[0]
+        if not len(more):
+            break
+        data[first[more] + byte] = codes[more] >> np.uint32(8 * byte) & 255
+    return control.tobytes(), data.tobytes()
 
 
 def decode_stream(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` codes written by :func:`encode_stream`."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    used = np.arange(4) < lengths[:, None]
-    wide = np.zeros((n, 4), np.uint8)
-    wide[used] = np.frombuffer(data, np.uint8)
-    return wide.view("<u4").ravel()
+    data = np.frombuffer(data, np.uint8)
+    first = np.cumsum(lengths) - lengths
+    codes = data[first].astype("<u4") if n else np.zeros(0, "<u4")
+    for byte in range(1, 4):
+        more = np.nonzero(lengths > byte)[0]
+        if not len(more):
+            break
+        codes[more] |= data[first[more] + byte].astype("<u4") << np.uint32(8 * byte)
+    return codes
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataFrame:
@@ -68,13 +87,12 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                met = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-                if len(met) > len(total):
-                    met[: len(total)] += total
-                    total = met
-                else:
-                    total[: len(met)] += met
+            column = batch.column("ids")
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            if len(column) and ends[-1] > ends[0]:
+                met = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view("<u4"))
+                size = max(len(met), len(total))
+                total = np.pad(total, (0, size - len(total))) + np.pad(met, (0, size - len(met)))
         out, ids = Rows(schema), np.nonzero(total)[0]
         out.columns = [ids.tolist(), total[ids].tolist()]
         yield out.batch()
@@ -98,7 +116,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None = 0, f
     rank_of = np.zeros(int(ids.max(initial=0)) + 1, "<u4")
     rank_of[ids] = np.arange(len(ids))
     shared = spark.sparkContext.broadcast(rank_of)
-    schema = "doc_id long, n_tokens int, control binary, data binary"
+    schema = "doc_id long, part int, n_tokens int, control binary, data binary"
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # ranges of about equal size, found on the ids alone: a range partitioner would encode all rows to sample them
+    steps = [k / files for k in range(1, files)]
+    bounds = sorted({int(x) for x in tokens.approxQuantile("doc_id", steps, 0.1 / files)})
 
     def run(batches):
         table, out = shared.value, Rows(schema)
@@ -106,13 +128,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None = 0, f
             for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 codes = table[np.frombuffer(ids.as_buffer(), "<u4")]
                 control, data = encode_stream(codes)
-                out.add(doc, len(codes), control, data, size=len(control) + len(data) + 16)
+                part = len(bounds) if doc is None else bisect.bisect_right(bounds, doc)
+                out.add(doc, part, len(codes), control, data, size=len(control) + len(data) + 16)
                 if out.full():
                     yield out.batch()
         yield out.batch()
 
     order = F.col("doc_id").asc_nulls_last()
-    streams = tokens.mapInArrow(run, schema).repartitionByRange(order).sortWithinPartitions(order)
+    streams = tokens.mapInArrow(run, schema).repartitionById(files, "part").sortWithinPartitions(order).drop("part")
     written(streams.withColumn("pos", F.monotonically_increasing_id()), f"{folder}/streams")
     codes = spark.createDataFrame([(k, int(i)) for k, i in enumerate(ids)], "rank long, id long")
     codes.coalesce(1).write.parquet(f"{folder}/codes")
