@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .functions.names import schema_name_for
-from .operators.ordered import MAX_GROUP_ROWS, ordered_scan
+from .operators.joins import join_null_safe
+from .operators.ordered import DEFAULT, ordered_scan
 from .sources.files import ingest_csv, with_lineage
 
 LAYERS = ("bronze", "silver", "gold")
@@ -37,7 +38,7 @@ class Layers:
     def get_table_path(self, layer: str, table_name: str) -> str:
         layer = layer.lower()
         if layer not in LAYERS:
-            raise ValueError(f"Invalid layer '{layer}'. Must be one of: {', '.join(LAYERS)}")
+            raise ValueError(f"unknown layer {layer!r}: expected {', '.join(LAYERS)}")
         return f"{self.get_schema_path()}.{layer}_{table_name}"
 
     def table(self, layer: str, table_name: str) -> DataFrame:
@@ -169,13 +170,13 @@ def bounded_to_pandas(df: DataFrame, max_rows: int = 100_000):
 
 
 def distinct_schema_names(
-    users: DataFrame, base: str = "base_name", email: str = "email", max_group_rows: int = MAX_GROUP_ROWS
+    users: DataFrame, base: str = "base_name", email: str = "email", max_group_rows: int = DEFAULT
 ) -> DataFrame:
-    """Unique names: a base name used more than once gets ``_k`` by sorted e-mail."""
+    """Unique names: a base name used more than once gets ``_k`` by sorted e-mail; no base name, no name."""
     counts = users.groupBy(base).agg(F.count("*").alias("__uses"))
     numbered = ordered_scan(users, [base], [email], row_number="__k", max_group_rows=max_group_rows)
     suffix = F.concat(F.col(base), F.lit("_"), F.col("__k").cast("string"))
-    named = numbered.join(counts, base).withColumn(
+    named = join_null_safe(numbered, counts, [base]).withColumn(
         "schema_name", F.when(F.col("__uses") > 1, suffix).otherwise(F.col(base))
     )
     return named.drop("__uses", "__k")

@@ -69,7 +69,8 @@ def clean_orders(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame
     """Typed, validated, de-duplicated orders from an all-text layer.
 
     Expects order_id, customer_email, product, amount, order_date and status as text; further
-    columns pass through. ``is_valid`` is true for a positive amount and is never NULL.
+    columns pass through. ``is_valid`` is true for a readable id with a positive amount and is never
+    NULL. Rows without a readable id cannot be copies of each other: they all stay, as invalid.
     """
     amount = numeric_or_null("amount")
     typed = raw.withColumns(
@@ -81,7 +82,9 @@ def clean_orders(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame
             "is_valid": F.coalesce(amount > 0, F.lit(False)),
         }
     )
-    return remove_duplicates(typed, ["order_id"], order_by=order_by)
+    known, unknown = typed.filter("order_id is not null"), typed.filter("order_id is null")
+    known = remove_duplicates(known, ["order_id"], order_by=order_by)
+    return known.unionByName(unknown.withColumn("is_valid", F.lit(False)))
 
 
 def clean_sales(df: DataFrame) -> DataFrame:

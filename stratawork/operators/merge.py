@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..workspace import durable
 from .cleanse import remove_duplicates
 from .joins import broadcast_when_small
 from .quality import duplicate_keys
@@ -25,12 +28,15 @@ def upsert(
 
     An ambiguous source is an error, as several rows would claim one target row. Pass
     ``order_by`` to let the last row in that order win, or ``source_is_unique`` to skip the
-    check where the caller has made it.
+    check where the caller has made it. Otherwise the source is written once, and check and merge
+    read it there.
     """
     if order_by:
         source = remove_duplicates(source, keys, keep="last", order_by=order_by)
-    elif not source_is_unique and not duplicate_keys(source, keys).isEmpty():
-        raise DuplicateSourceKeys(f"source has several rows for one {keys}")
+    elif not source_is_unique:
+        source = durable(source, "upsert-source")
+        if not duplicate_keys(source, keys).isEmpty():
+            raise DuplicateSourceKeys(f"source has several rows for one {keys}")
     untouched = target.join(source.select(*keys), keys, "left_anti")
     return untouched.unionByName(source.select(*target.columns))
 
@@ -54,23 +60,39 @@ def rows_after(df: DataFrame, column: str, mark, *, inclusive: bool = False) ->
     return df.filter(F.col(column) >= limit if inclusive else F.col(column) > limit)
 
 
+@dataclass(frozen=True)
+class TimestampLoad:
+    """Result of :func:`load_after_timestamp`."""
+
+    merged: DataFrame
+    rejected: DataFrame
+    _mark: object
+    _fresh: DataFrame
+    _modified: str
+
+    def next_mark(self):
+        """The mark for the next load; scans the loaded rows when asked for."""
+        return later_mark(self._mark, high_water_mark(self._fresh, self._modified))
+
+
 def load_after_timestamp(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
     modified: str,
     *,
-    inclusive: bool = False,
+    inclusive: bool = True,
     order_by: list[str] | None = None,
-):
-    """Watermark load: upsert the rows modified after the newest loaded row.
+) -> TimestampLoad:
+    """Watermark load: upsert the rows modified at or after the newest loaded row.
 
-    Returns the merged frame and the next mark.
+    Rows that share the mark are read again, since more of them may have come since; the upsert makes
+    that harmless. Rows without a modification time are in ``rejected``.
     """
     mark = high_water_mark(target, modified)
-    fresh = rows_after(source, modified, mark, inclusive=inclusive)
+    fresh = rows_after(source.filter(F.col(modified).isNotNull()), modified, mark, inclusive=inclusive)
     merged = upsert(target, fresh, keys, order_by=order_by or [modified, *keys])
-    return merged, later_mark(mark, high_water_mark(fresh, modified))
+    return TimestampLoad(merged, source.filter(F.col(modified).isNull()), mark, fresh, modified)
 
 
 def load_after_sequence(target: DataFrame, source: DataFrame, sequence: str) -> DataFrame:
@@ -199,8 +221,11 @@ def checkpoint_value(checkpoints: DataFrame, name: str, kind: str, as_type: str)
 def resume_by_partition(source: DataFrame, marks: DataFrame, key: str, position: str, mark: str) -> DataFrame:
     """Rows past the stored mark of their own key; keys without a mark are read whole.
 
+    Rows without a position cannot be placed before the mark and are read each time.
+
     The marks are broadcast when they measure small, so the source is not shuffled by a key
     that few pipelines share.
     """
     joined = source.join(broadcast_when_small(marks.select(key, mark)), key, "left")
-    return joined.filter(F.col(mark).isNull() | (F.col(position) > F.col(mark))).drop(mark)
+    past = F.col(mark).isNull() | F.col(position).isNull() | (F.col(position) > F.col(mark))
+    return joined.filter(past).drop(mark)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import join_null_safe
+
 CORRUPT = "_rescued_data"
 
 
@@ -64,7 +66,7 @@ def pages_until_empty(pages: DataFrame, page_no: str, rows: str, group: list[str
     body = pages.select(*group, page_no, F.explode(rows).alias("__r"))
     if group:
         ends = pages.groupBy(*group).agg(F.min(F.when(is_empty, F.col(page_no))).alias("__end"))
-        body = body.join(ends, list(group))
+        body = join_null_safe(body, ends, list(group))
         end: Column = F.col("__end")
     else:
         end = pages.agg(F.min(F.when(is_empty, F.col(page_no)))).scalar()

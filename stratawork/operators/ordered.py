@@ -3,8 +3,9 @@
 A Spark window puts a whole group into one task. That is fine for ordinary groups and is
 used for them. The rows of groups above ``max_group_rows`` are cut by range into ordered
 slices, each slice is scanned on its own, and what the earlier slices of the group contribute
-(one summary row per slice) is added afterwards. No row is dropped and both ways give the
-same result.
+(one summary row per slice) is added afterwards. No row is dropped, and both ways give the
+same rows, types and errors for sums of integers and decimals. Sums of doubles depend on their
+order, so ``running`` does not take them.
 
 Order columns are named; a leading ``-`` means descending. NULLs come first in ascending and
 last in descending order, as in Spark.
@@ -15,14 +16,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..workspace import durable
-from .joins import join_null_safe
+from .joins import DEFAULT_BROADCAST_BYTES, broadcast_when_small, join_null_safe, measured_bytes
 
 MAX_GROUP_ROWS = 5_000_000
-# Cutting by range samples about a hundred keys per slice on the driver; this bounds them.
-MAX_SLICES = 10_000
+#: Stands for MAX_GROUP_ROWS as it is when a scan is made.
+DEFAULT = 0
 _SLICE = "__slice"
 
 
@@ -56,7 +57,7 @@ def _ordering(order: list[str]) -> list[Column]:
 
 def slices_for(rows: int, max_group_rows: int) -> int:
     """Enough slices that each is well below the group limit."""
-    return min(MAX_SLICES, 1 + 2 * rows // max(1, max_group_rows))
+    return 1 + 2 * rows // max(1, max_group_rows)
 
 
 def ordered_scan(
@@ -69,7 +70,7 @@ def ordered_scan(
     dense_rank: str | None = None,
     running: dict[str, Column] | None = None,
     following: dict[str, str] | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    max_group_rows: int | None = DEFAULT,
 ) -> DataFrame:
     """Positions, running sums and next-row values per group.
 
@@ -77,22 +78,29 @@ def ordered_scan(
     defined. ``rank`` and ``dense_rank`` follow the first order column alone. ``running`` maps a
     new column to the summed expression (rows frame from the start of the group), ``following``
     maps a new column to the column whose next value it shows. ``max_group_rows=None`` skips the
-    measurement where the groups are small by construction.
+    measurement where the groups are small by construction; otherwise one count per group is
+    written as this function is called, and, if a group is large, the rows as well, so that ``df``
+    is worked out once for the count and once for the result.
     """
     want = Wanted(row_number, rank, dense_rank, running or {}, following or {})
+    plain = _plain_scan(df, keys, order, want)
+    if any(isinstance(plain.schema[n].dataType, (T.DoubleType, T.FloatType)) for n in want.running):
+        raise TypeError("running sums take integers and decimals, whose order of addition does not matter")
     if max_group_rows is None:
-        return _plain_scan(df, keys, order, want)
+        return plain
+    max_group_rows = max_group_rows or MAX_GROUP_ROWS
     # Map-side counts; two numbers reach the driver.
-    large = df.groupBy(*keys).count().filter(F.col("count") > max_group_rows)
+    large = durable(df.groupBy(*keys).count().filter(F.col("count") > max_group_rows), "hot-keys")
     groups, rows = large.agg(F.count("*"), F.sum("count")).first()
     if not groups:
-        return _plain_scan(df, keys, order, want)
-    # At most rows / max_group_rows keys are hot, which bounds what is broadcast here.
-    hot_keys = durable(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]), "hot-keys")
+        return plain
+    df = durable(df, "ordered-input")
+    hot_keys = broadcast_when_small(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
-    hot = df.join(F.broadcast(hot_keys), same, "left_semi")
-    rest = df.join(F.broadcast(hot_keys), same, "left_anti")
+    hot = df.join(hot_keys, same, "left_semi")
+    rest = df.join(hot_keys, same, "left_anti")
     sliced = _sliced_scan(hot, keys, order, want, slices_for(rows, max_group_rows))
+    sliced = sliced.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in plain.schema.fields])
     return _plain_scan(rest, keys, order, want).unionByName(sliced)
 
 
@@ -133,8 +141,8 @@ def _sliced_scan(df: DataFrame, keys: list[str], order: list[str], want: Wanted,
         source = scanned = durable(scanned, "scanned")
     offsets = _slice_offsets(source, keys, order, want)
 
-    # Hot groups and slices are both bounded, and with them the offsets.
-    joined = join_null_safe(scanned, offsets, by_slice, broadcast=True)
+    offsets = durable(offsets, "offsets")
+    joined = join_null_safe(scanned, offsets, by_slice, broadcast=measured_bytes(offsets) <= DEFAULT_BROADCAST_BYTES)
     result = {}
     for name in want.running:
         here, earlier = F.col(f"__sum_{name}"), F.col(f"__before_{name}")
@@ -158,7 +166,7 @@ def _slice_offsets(scanned: DataFrame, keys: list[str], order: list[str], want:
     """What precedes each slice of each group; at most (slices + groups) rows."""
     totals = {"__rows": F.count("*")}
     totals |= {f"__sum_{n}": F.sum(e) for n, e in want.running.items()}
-    totals |= {f"__head_{n}": F.max(F.when(F.col("__row") == 1, F.col(c))) for n, c in want.following.items()}
+    totals |= {f"__head_{n}": F.max_by(F.col(c), F.when(F.col("__row") == 1, 1)) for n, c in want.following.items()}
     if want.peers:
         value = order[0].removeprefix("-")
         missing, low, high = F.count_if(F.col(value).isNull()) > 0, F.min(value), F.max(value)
@@ -207,17 +215,25 @@ def running_total_of_peers(
     amount: Column,
     name: str = "running_total",
     *,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = DEFAULT,
 ) -> DataFrame:
     """Running total with the default RANGE frame: rows equal in ``order`` share one total.
 
-    Peers fold to one row each before the ordered pass; the totals are joined back.
+    Groups within the limit take one window. If a group is larger, peers fold to one row each
+    before the ordered pass, and the totals are joined back.
     """
+    frame = Window.partitionBy(*keys).orderBy(*_ordering([order]))
+    plain = df.withColumn(name, F.sum(amount).over(frame))
+    limit = max_group_rows or MAX_GROUP_ROWS
+    if df.groupBy(*keys).count().filter(F.col("count") > limit).isEmpty():
+        return plain
+    df = durable(df, "peers-input")
     folded = df.groupBy(*keys, order).agg(F.sum(amount).alias("__amount"))
     totals = ordered_scan(
         folded, keys, [order], running={name: F.col("__amount")}, max_group_rows=max_group_rows
     ).drop("__amount")
-    return join_null_safe(df, totals, [*keys, order])
+    joined = join_null_safe(df, totals, [*keys, order])
+    return joined.withColumn(name, F.col(name).cast(plain.schema[name].dataType))
 
 
 def top_rows(df: DataFrame, keys: list[str], order: list[str], n: int, position: str = "position") -> DataFrame:
@@ -238,7 +254,7 @@ def paged_lists(
     *,
     page_rows: int = 1000,
     name: str = "items",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = DEFAULT,
 ) -> DataFrame:
     """Ordered list of each group, cut into pages of at most ``page_rows`` elements.
 

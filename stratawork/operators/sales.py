@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import amount_band, price_after_discount, price_tier
-from ..functions.numbers import cents, from_cents, money_mean, money_sum, ratio
+from ..functions.numbers import from_units, money_mean, money_sum, ratio, units
 from ..workspace import durable
 
 
@@ -53,7 +53,7 @@ def fold(df: DataFrame, keys: list[str], amount: str = "total_amount") -> DataFr
     return df.groupBy(*keys).agg(
         F.count("*").alias("__count"),
         F.count(amount).alias("__known"),
-        F.sum(cents(amount)).alias("__cents"),
+        F.sum(units(amount)).alias("__units"),
         F.max(amount).alias("__max"),
         F.min(amount).alias("__min"),
     )
@@ -61,7 +61,7 @@ def fold(df: DataFrame, keys: list[str], amount: str = "total_amount") -> DataFr
 
 def unfold(partial: DataFrame, keys: list[str]) -> DataFrame:
     """The result of :func:`summarize` from rows of :func:`fold`."""
-    total = from_cents(F.sum("__cents"))
+    total = from_units(F.sum("__units"))
     return partial.groupBy(*keys).agg(
         F.sum("__count").alias("transaction_count"),
         total.alias("total_revenue"),
@@ -71,6 +71,20 @@ def unfold(partial: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def refold(partial: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of :func:`fold` under coarser keys, still mergeable."""
+    return partial.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("__count", "__known", "__units")],
+        F.max("__max").alias("__max"),
+        F.min("__min").alias("__min"),
+    )
+
+
+def unfold_revenue(partial: DataFrame, keys: list[str], name: str = "revenue", count: str = "transactions") -> DataFrame:
+    """The result of :func:`revenue` from rows of :func:`fold`."""
+    return partial.groupBy(*keys).agg(from_units(F.sum("__units")).alias(name), F.sum("__count").alias(count))
+
+
 def revenue(df: DataFrame, keys: list, amount: str = "total_amount", name: str = "revenue") -> DataFrame:
     return df.groupBy(*keys).agg(
         money_sum(amount).alias(name), F.count("*").alias("transactions")

@@ -58,17 +58,14 @@ def upsert_twice(spark, sf):
 
 @query(
     "incremental_by_timestamp",
-    f"WITH {_BATCH_SQL}, fresh AS (SELECT * FROM delivery WHERE transaction_date >"
+    f"WITH {_BATCH_SQL}, fresh AS (SELECT * FROM delivery WHERE transaction_date >="
     " (SELECT max(transaction_date) FROM loaded))"
     f" {_SHOW} (SELECT * FROM fresh UNION ALL SELECT * FROM loaded WHERE transaction_id NOT IN"
     " (SELECT transaction_id FROM fresh))",
 )
 def incremental_by_timestamp(spark, sf):
-    merged, _ = merge.load_after_timestamp(
-        _loaded(spark, sf), _delivery(spark, sf), ["transaction_id"], "transaction_date"
-    )
-    return merged
-
+    loaded, delivery = _loaded(spark, sf), _delivery(spark, sf)
+    return merge.load_after_timestamp(loaded, delivery, ["transaction_id"], "transaction_date").merged
 
 
 @query(
@@ -243,7 +240,16 @@ def quality_alert_query(spark, sf):
     return quality_alert(quality_trend(runs(spark, sf)))
 
 
-@query("partition_profile")
+@query(
+    "partition_profile",
+    "SELECT count(*) AS total_rows, true AS is_counted, true AS is_ordered, true AS has_skew FROM lineitem",
+)
 def partition_profile_query(spark, sf):
-    """Depends on how the files are split, so no SQL can state it."""
-    return partition_profile(table(spark, sf, "lineitem"))
+    """The spread depends on how files are split; what holds for every spread is shown."""
+    profile = partition_profile(table(spark, sf, "lineitem"))
+    return profile.select(
+        "total_rows",
+        (F.abs(F.col("avg_rows") * F.col("partition_count") - F.col("total_rows")) < 0.5).alias("is_counted"),
+        ((F.col("min_rows") <= F.col("avg_rows")) & (F.col("avg_rows") <= F.col("max_rows"))).alias("is_ordered"),
+        (F.col("skew_ratio") >= 1).alias("has_skew"),
+    )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..catalog import save_files
+from ..catalog import replace_partitions, save_files, save_table
 from ..functions.times import instant_from_utc, utc_from_instant
-from ..operators import nested
+from ..operators import nested, sales as op
 from ..operators.ordered import paged_lists
 from ..operators.quality import customer_checks
 from ..sources.files import (
@@ -26,16 +27,18 @@ from ..streaming.jobs import (
     latest_result,
     new_files,
     rate_columns,
+    running_state,
     tumbling,
 )
-from ..workspace import new_folder
+from ..workspace import durable, new_folder
 from . import flows
 from .finance import _METRICS_SQL
 from .quality import GOLD_ORDERS_SQL, _SCORED_SQL, daily_order_gold
 from .registry import query
-from .relational import _DAILY_SQL
+from .relational import _DAILY_SQL, stores
 from .views import (
     JSON_LINES_SCHEMA,
+    TABLES,
     campaigns,
     dirty_customers,
     json_lines,
@@ -90,28 +93,38 @@ def partition_pruned_scan(spark, sf):
     return ingest_parquet(spark, path).filter("order_year = 1998")
 
 
-_MANIFEST = ("customer", "events", "lineitem", "orders", "part", "supplier")
-
-
-def _scans(spark, sf) -> list[DataFrame]:
-    return [table(spark, sf, name) for name in _MANIFEST]
-
-
 @query(
     "file_manifest",
-    " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS filename, count(*) AS record_count FROM {t}" for t in _MANIFEST
-    ),
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS record_count, true AS has_files FROM {t}" for t in TABLES),
 )
 def file_manifest_query(spark, sf):
-    manifests = [file_manifest(scan).select("filename", "record_count") for scan in _scans(spark, sf)]
+    """The manifest of every given table, added up over its files."""
+    manifests = [
+        file_manifest(table(spark, sf, t)).agg(
+            F.lit(t).alias("table_name"),
+            F.sum("record_count").alias("record_count"),
+            F.every(F.col("filename").endswith(".parquet")).alias("has_files"),
+        )
+        for t in TABLES
+    ]
     return reduce(DataFrame.unionByName, manifests)
 
 
-@query("file_size_audit")
+@query(
+    "file_size_audit",
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, true AS has_content, true AS within_limit" for t in TABLES),
+)
 def file_size_audit_query(spark, sf):
-    """File sizes are not visible to SQL over the tables."""
-    return reduce(DataFrame.unionByName, [file_size_audit(scan, 10.0) for scan in _scans(spark, sf)])
+    """Every file of every given table, against a limit that all of them meet."""
+    audits = [
+        file_size_audit(spark, f"{sf}/{t}.parquet", 1e6).agg(
+            F.lit(t).alias("table_name"),
+            F.every(F.col("file_size") > 0).alias("has_content"),
+            F.every("within_limit").alias("within_limit"),
+        )
+        for t in TABLES
+    ]
+    return reduce(DataFrame.unionByName, audits)
 
 
 @query(
@@ -275,24 +288,25 @@ _PAGES = "source bigint, page_no bigint, data array<struct<customer_id: bigint,
 
 @query(
     "paged_concat",
-    "SELECT CAST(c_nationkey AS BIGINT) AS source, page_no, c_custkey AS customer_id, c_name AS name, c_acctbal AS lifetime_value"
-    " FROM (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 20 AS page_no"
-    " FROM customer) WHERE page_no < 1 + c_nationkey % 3",
+    "WITH pages AS (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 3 AS page_no"
+    " FROM customer), ends AS (SELECT c_nationkey, min(page_no) AS page_end FROM (SELECT c_nationkey, page_no FROM pages"
+    " GROUP BY 1, 2 HAVING count(*) FILTER (c_acctbal > 5000) = 0) GROUP BY 1)"
+    " SELECT CAST(c_nationkey AS BIGINT) AS source, page_no, c_custkey AS customer_id, c_name AS name, c_acctbal AS lifetime_value"
+    " FROM pages LEFT JOIN ends USING (c_nationkey) WHERE c_acctbal > 5000 AND (page_end IS NULL OR page_no < page_end)",
 )
 def paged_concat(spark, sf):
-    """Every source pages through its customers; its first empty page ends it."""
+    """Every source pages through its customers and shows the rich ones; its first empty page ends it."""
     customer = F.struct(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("lifetime_value"),
     )
     customers = table(spark, sf, "customer")
-    full = paged_lists(customers, ["c_nationkey"], ["c_custkey"], customer, page_rows=20, name="data")
-    is_end = F.col("page_no") == 1 + F.col("c_nationkey") % 3
+    full = paged_lists(customers, ["c_nationkey"], ["c_custkey"], customer, page_rows=3, name="data")
     responses = full.select(
         F.col("c_nationkey").cast("bigint").alias("source"),
         "page_no",
-        F.when(is_end, F.slice("data", 1, 0)).otherwise(F.col("data")).alias("data"),
+        F.filter("data", lambda c: c["lifetime_value"] > 5000).alias("data"),
     )
     landed = _land(spark, responses, "pages", _PAGES)
     return nested.pages_until_empty(landed, "page_no", "data", ["source"])
@@ -358,6 +372,18 @@ def file_to_gold(spark, sf):
     return flows.daily_store_revenue(raw, flows.LayerFolders(spark, "store-sales"))
 
 
+@query("csv_file_to_gold", _DAILY_SQL)
+def csv_file_to_gold(spark, sf):
+    """The raw lines land as a CSV file; store names are joined after cleansing and folding."""
+    path = new_folder(spark, "raw-csv")
+    lines = sales(spark, sf, "supplier_id", "quantity", "total_amount", "transaction_date")
+    save_files(lines, path, "csv")
+    raw = ingest_csv(spark, path, lines.schema)
+    daily = op.fold(raw.filter("quantity > 0").withColumnRenamed("transaction_date", "date"), ["supplier_id", "date"])
+    named = daily.join(stores(spark, sf), "supplier_id").withColumn("store_location", F.upper("store_location"))
+    return op.unfold_revenue(named, ["date", "store_location"])
+
+
 @query("medallion_orders", GOLD_ORDERS_SQL)
 def medallion_orders(spark, sf):
     layers = flows.LayerFolders(spark, "orders")
@@ -390,8 +416,11 @@ def quality_flow_run(spark, sf):
 
 
 def _event_stream(spark, sf):
-    """The events as a file stream; the table may be one file or a folder of files."""
-    return new_files(spark, f"{sf}/events.parquet*", table(spark, sf, "events").schema)
+    """The events as a file stream; the table may be one file or a folder of files.
+
+    A stream takes a file only through a pattern; this one fits a single name.
+    """
+    return new_files(spark, f"{sf}/[e]vents.parquet", table(spark, sf, "events").schema)
 
 
 @query("stream_file_incremental", "SELECT event_id, event_type, value FROM events")
@@ -425,6 +454,99 @@ def stream_tumbling_complete(spark, sf):
 def stream_upsert_latest(spark, sf):
     """Newest event of every user, merged batch by batch into an upsert log."""
     stream = _event_stream(spark, sf).select("user_id", "event_id", "ts", "value")
+    return _newest_per_user(spark, stream)
+
+
+def _newest_per_user(spark, stream):
     sink = UpsertLog(spark, new_folder(spark, "latest"), stream.schema, ["user_id"], ["ts", "event_id"])
     each_batch(stream, sink, new_folder(spark, "latest-checkpoint"), "append").awaitTermination()
     return sink.read().drop("ts")
+
+
+_NEWER = "ts >= timestamp_ntz'2024-01-15 00:00:00'"
+
+
+def _two_deliveries(spark, sf):
+    """The events as a stream of two files per trigger order: the newer half comes first, the older one late."""
+    path, events = new_folder(spark, "deliveries"), table(spark, sf, "events")
+    for part in (_NEWER, f"not ({_NEWER})"):
+        events.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return new_files(spark, path, events.schema, max_files_per_trigger=1)
+
+
+@query(
+    "stream_upsert_out_of_order",
+    "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id"
+    " ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
+)
+def stream_upsert_out_of_order(spark, sf):
+    """Older events arrive in a later batch and must not win."""
+    return _newest_per_user(spark, _two_deliveries(spark, sf).select("user_id", "event_id", "ts", "value"))
+
+
+@query(
+    "stream_state_update",
+    "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS lifetime_value, count(*) AS total_transactions,"
+    " CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_transaction_amount FROM events GROUP BY 1",
+)
+def stream_state_update(spark, sf):
+    """Keyed state over two batches in update mode; each batch shows the users it changed, the log keeps their last state."""
+    state = running_state(_two_deliveries(spark, sf), "user_id", "value")
+    sink = UpsertLog(spark, new_folder(spark, "state"), state.schema, ["user_id"], ["total_transactions"])
+    each_batch(state, sink, new_folder(spark, "state-checkpoint"), "update").awaitTermination()
+    return sink.read()
+
+
+# Writers
+
+
+def _own_table(spark, write):
+    """What a catalog table of its own holds after ``write``; the table goes, the rows stay."""
+    name = f"stratawork_{uuid.uuid4().hex}"
+    write(name)
+    try:
+        return durable(spark.table(name), "own-table")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@query("table_schema_replaced", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
+def table_schema_replaced(spark, sf):
+    """Overwriting a table replaces its rows and its columns."""
+    orders = table(spark, sf, "orders")
+
+    def write(name):
+        save_table(orders.select("o_orderkey", "o_totalprice"), name)
+        save_table(orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderpriority"), name)
+
+    return _own_table(spark, write)
+
+
+@query(
+    "table_append_duplicates",
+    "SELECT event_id, 2::BIGINT AS copies FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'",
+)
+def table_append_duplicates(spark, sf):
+    """A blind re-append of the newest half to a real table, and what it duplicates."""
+    events = table(spark, sf, "events").select("event_id", "ts")
+
+    def write(name):
+        save_table(events, name)
+        save_table(events.filter(_NEWER), name, mode="append")
+
+    return _own_table(spark, write).groupBy("event_id").agg(F.count("*").alias("copies")).filter("copies > 1")
+
+
+@query(
+    "partition_replaced",
+    "SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,"
+    " CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders WHERE year(o_orderdate) <> 1998 OR o_orderkey % 2 = 0",
+)
+def partition_replaced(spark, sf):
+    """One year is delivered again and replaces its partition; the other years stay as they are."""
+    path, price = new_folder(spark, "years"), F.col("o_totalprice")
+    orders = table(spark, sf, "orders").select("o_orderkey", price, F.year("o_orderdate").alias("order_year"))
+    save_files(orders, path, partition_by=["order_year"])
+    again = orders.filter("order_year = 1998 and o_orderkey % 2 = 0").withColumn("o_totalprice", price * 2)
+    replace_partitions(again, path, ["order_year"])
+    return ingest_parquet(spark, path)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..catalog import sample_rows, table_inventory
 from ..functions.labels import loyalty_score
-from ..functions.numbers import cents, from_cents, money_mean, money_sum
+from ..functions.numbers import from_units, money_mean, money_sum, units
 from ..functions.udfs import amount_band_udf, loyalty_score_udf
 from ..operators import sales as op
 from ..operators.cleanse import clean_sales
@@ -18,7 +20,9 @@ from .registry import query
 from .views import (
     CATEGORY_INFO_SQL,
     ORDER_SALES_SQL,
+    SALES_COLUMNS,
     SALES_SQL,
+    TABLES,
     category_info,
     order_sales,
     sales,
@@ -32,6 +36,21 @@ _SUM = "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
 _MEAN = f"{_SUM} / count(*)"
 
 
+def stores(spark, sf):
+    """Store of each supplier."""
+    nations = table(spark, sf, "nation")
+    return (
+        table(spark, sf, "supplier")
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .selectExpr("s_suppkey as supplier_id", "n_name as store_location")
+    )
+
+
+def categories(spark, sf):
+    """Category of each product."""
+    return table(spark, sf, "part").selectExpr("p_partkey as product_id", "p_brand as product_category")
+
+
 # Projections and filters
 
 
@@ -196,8 +215,7 @@ def sample_by_key(spark, sf):
 def category_summary(spark, sf):
     """Lines fold per product before the join, so a best-selling product costs one row."""
     per_product = op.fold(sales(spark, sf, "product_id", "total_amount"), ["product_id"])
-    parts = table(spark, sf, "part").selectExpr("p_partkey as product_id", "p_brand as product_category")
-    grouped = op.unfold(per_product.join(parts, "product_id"), ["product_category"])
+    grouped = op.unfold(per_product.join(categories(spark, sf), "product_id"), ["product_category"])
     return grouped.orderBy(F.desc("total_revenue"))
 
 
@@ -209,8 +227,9 @@ def category_summary(spark, sf):
     " min(total_amount) AS min_transaction FROM sales GROUP BY transaction_date, store_location",
 )
 def daily_store_summary(spark, sf):
-    df = sales(spark, sf, "transaction_date", "store_location", "total_amount")
-    return op.summarize(df, [F.to_date("transaction_date").alias("date"), "store_location"])
+    lines = sales(spark, sf, "transaction_date", "supplier_id", "total_amount")
+    daily = op.fold(lines.withColumnRenamed("transaction_date", "date"), ["supplier_id", "date"])
+    return op.unfold(daily.join(stores(spark, sf), "supplier_id"), ["date", "store_location"])
 
 
 _DAILY_SQL = (
@@ -223,9 +242,10 @@ _DAILY_SQL = (
 
 @query("silver_daily_sales", _DAILY_SQL)
 def silver_daily_sales(spark, sf):
-    df = sales(spark, sf, "transaction_date", "store_location", "total_amount", "quantity")
-    kept = df.filter("quantity > 0").withColumn("store_location", F.upper("store_location"))
-    return op.revenue(kept, [F.to_date("transaction_date").alias("date"), "store_location"])
+    lines = sales(spark, sf, "transaction_date", "supplier_id", "total_amount", "quantity").filter("quantity > 0")
+    daily = op.fold(lines.withColumnRenamed("transaction_date", "date"), ["supplier_id", "date"])
+    named = daily.join(stores(spark, sf), "supplier_id").withColumn("store_location", F.upper("store_location"))
+    return op.unfold_revenue(named, ["date", "store_location"])
 
 
 @query(
@@ -252,27 +272,37 @@ def sales_global(spark, sf):
 @query(
     "region_rep_summary",
     WITH_SALES
-    + "SELECT store_location, supplier_id, CAST(sum(CAST(quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_quantity,"
+    + "SELECT store_location, supplier_id, CAST(sum(quantity) AS DOUBLE) AS total_quantity,"
     f" {_MEAN} AS avg_amount, count(transaction_id) AS sales_count FROM sales GROUP BY 1, 2",
 )
 def region_rep_summary(spark, sf):
     """Per-supplier totals first; the store name is joined to the folded rows."""
     lines = sales(spark, sf, "supplier_id", "quantity", "total_amount")
     per_rep = lines.groupBy("supplier_id").agg(
-        money_sum("quantity").alias("total_quantity"),
+        F.sum("quantity").alias("total_quantity"),
         money_mean("total_amount").alias("avg_amount"),
         F.count("*").alias("sales_count"),
     )
-    stores = (
-        table(spark, sf, "supplier")
-        .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .selectExpr("s_suppkey as supplier_id", "n_name as store_location")
-    )
-    return per_rep.join(stores, "supplier_id").select(
+    return per_rep.join(stores(spark, sf), "supplier_id").select(
         "store_location", "supplier_id", "total_quantity", "avg_amount", "sales_count"
     )
 
 
+@query(
+    "discounted_revenue",
+    "SELECT l_returnflag AS return_flag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))"
+    " * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS transactions"
+    " FROM lineitem GROUP BY 1",
+)
+def discounted_revenue(spark, sf):
+    """Amounts of four decimals, added up as they are."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("return_flag"),
+        (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("amount"),
+    )
+    return op.revenue(lines, ["return_flag"], "amount")
+
+
 @query(
     "revenue_share",
     WITH_SALES
@@ -353,8 +383,9 @@ def region_avg_filtered(spark, sf):
     " FROM sales GROUP BY 1, 2",
 )
 def category_region(spark, sf):
-    df = sales(spark, sf, "product_category", "store_location", "total_amount")
-    return op.revenue(df, ["product_category", "store_location"])
+    lines = op.fold(sales(spark, sf, "product_id", "supplier_id", "total_amount"), ["product_id", "supplier_id"])
+    by_store = op.refold(lines.join(stores(spark, sf), "supplier_id"), ["product_id", "store_location"])
+    return op.unfold_revenue(by_store.join(categories(spark, sf), "product_id"), ["product_category", "store_location"])
 
 
 @query(
@@ -374,14 +405,12 @@ def watermark_max(spark, sf):
     " AS null_percentage FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM sales"
-        for c in ("quantity", "unit_price", "total_amount", "discount_amount", "transaction_date")
+        for c in SALES_COLUMNS
     )
     + ")",
 )
 def null_profile_query(spark, sf):
-    return null_profile(
-        sales(spark, sf, "quantity", "unit_price", "total_amount", "discount_amount", "transaction_date")
-    )
+    return null_profile(sales(spark, sf))
 
 
 @query(
@@ -392,8 +421,10 @@ def null_profile_query(spark, sf):
     " FROM sales GROUP BY 1, 2",
 )
 def tumbling_weekly(spark, sf):
-    df = sales(spark, sf, "event_time", "product_category", "total_amount")
-    return op.weekly(df, "event_time", "product_category").withColumn("week_start", F.to_date("week_start"))
+    lines = sales(spark, sf, "event_time", "product_id", "total_amount")
+    weeks = lines.withColumn("week_start", F.to_date(F.window("event_time", "7 days")["start"]))
+    weeks = op.fold(weeks, ["product_id", "week_start"]).join(categories(spark, sf), "product_id")
+    return op.unfold_revenue(weeks, ["week_start", "product_category"], "weekly_revenue", "weekly_transactions")
 
 
 @query(
@@ -405,28 +436,25 @@ def tumbling_weekly(spark, sf):
 def view_total_amount(spark, sf):
     """A named view with a computed column, read through SQL."""
     df = sales(spark, sf, "transaction_id", "line_number", "quantity", "unit_price")
-    df.createOrReplaceTempView("sales_with_total_base")
+    own = uuid.uuid4().hex  # two runs in one session do not meet
+    base, view = f"sales_base_{own}", f"sales_with_total_{own}"
+    df.createOrReplaceTempView(base)
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY VIEW sales_with_total AS SELECT *,"
-        " quantity * unit_price AS computed_total, current_date() AS report_date FROM sales_with_total_base"
-    )
-    result = spark.sql(
-        "SELECT transaction_id, line_number, computed_total FROM sales_with_total WHERE quantity >= 25"
+        f"CREATE TEMPORARY VIEW {view} AS SELECT *, quantity * unit_price AS computed_total,"
+        f" current_date() AS report_date FROM {base}"
     )
-    spark.catalog.dropTempView("sales_with_total")
-    spark.catalog.dropTempView("sales_with_total_base")
+    result = spark.sql(f"SELECT transaction_id, line_number, computed_total FROM {view} WHERE quantity >= 25")
+    spark.catalog.dropTempView(view)
+    spark.catalog.dropTempView(base)
     return result
 
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-
 @query(
     "table_inventory",
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS record_count FROM {t}" for t in _TABLES),
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS record_count FROM {t}" for t in TABLES),
 )
 def table_inventory_query(spark, sf):
-    return table_inventory(spark, {t: table(spark, sf, t) for t in _TABLES})
+    return table_inventory(spark, {t: table(spark, sf, t) for t in TABLES})
 
 
 # Joins
@@ -441,8 +469,7 @@ def table_inventory_query(spark, sf):
 def category_sales(spark, sf):
     """Lines fold per product, products join their category, and partial rows fold again."""
     per_product = op.fold(sales(spark, sf, "product_id", "total_amount"), ["product_id"])
-    parts = table(spark, sf, "part").selectExpr("p_partkey as product_id", "p_brand as product_category")
-    per_category = op.unfold(per_product.join(parts, "product_id"), ["product_category"])
+    per_category = op.unfold(per_product.join(categories(spark, sf), "product_id"), ["product_category"])
     known = category_info(spark, sf)
     return per_category.join(known, F.col("product_category") == F.col("category")).select(
         "department",
@@ -470,10 +497,10 @@ def enrich_left_broadcast(spark, sf):
     " ON category = product_category GROUP BY 1",
 )
 def dept_revenue(spark, sf):
-    df = sales(spark, sf, "product_category", "total_amount")
-    joined = lookup(df, category_info(spark, sf), "product_category", "category", "inner")
-    grouped = joined.groupBy("department").agg(money_sum("total_amount").alias("dept_revenue"))
-    return grouped.orderBy(F.desc("dept_revenue"))
+    lines = op.fold(sales(spark, sf, "product_id", "total_amount"), ["product_id"])
+    per_category = op.refold(lines.join(categories(spark, sf), "product_id"), ["product_category"])
+    joined = lookup(per_category, category_info(spark, sf), "product_category", "category", "inner")
+    return op.unfold_revenue(joined, ["department"], "dept_revenue").drop("transactions").orderBy(F.desc("dept_revenue"))
 
 
 @query(
@@ -557,9 +584,9 @@ def running_total(spark, sf):
         df,
         ["store_location"],
         ["transaction_date", "transaction_id"],
-        running={"running_total": cents("total_amount")},
+        running={"running_total": units("total_amount")},
     )
-    return totals.select("transaction_id", "store_location", from_cents("running_total").alias("running_total"))
+    return totals.select("transaction_id", "store_location", from_units("running_total").alias("running_total"))
 
 
 @query(
@@ -570,8 +597,8 @@ def running_total(spark, sf):
 )
 def running_total_range(spark, sf):
     df = order_sales(spark, sf, "transaction_id", "customer_id", "transaction_date", "total_amount")
-    totals = running_total_of_peers(df, ["customer_id"], "transaction_date", cents("total_amount"))
-    return totals.select("transaction_id", "customer_id", from_cents("running_total").alias("running_total"))
+    totals = running_total_of_peers(df, ["customer_id"], "transaction_date", units("total_amount"))
+    return totals.select("transaction_id", "customer_id", from_units("running_total").alias("running_total"))
 
 
 @query(
@@ -592,10 +619,10 @@ def top3_per_segment(spark, sf):
         best,
         ["customer_segment"],
         ["customer_rank"],
-        running={"running_total": cents("total_amount")},
+        running={"running_total": units("total_amount")},
         max_group_rows=None,
     )
-    return totals.drop("transaction_id").withColumn("running_total", from_cents("running_total"))
+    return totals.drop("transaction_id").withColumn("running_total", from_units("running_total"))
 
 
 # Unions

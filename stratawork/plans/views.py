@@ -7,12 +7,21 @@ drops a fact row.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numbers import money_sum
 from ..operators.ordered import paged_lists
 
 
+#: All given tables.
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,7 +33,7 @@ _SALES = {
     "product_id": ("lineitem", "l_partkey"),
     "supplier_id": ("lineitem", "l_suppkey"),
     "quantity": ("lineitem", "l_quantity"),
-    "unit_price": ("lineitem", "l_extendedprice / l_quantity"),
+    "unit_price": ("lineitem", "try_divide(l_extendedprice, l_quantity)"),
     "total_amount": ("lineitem", "l_extendedprice"),
     "discount_amount": ("lineitem", "if(l_discount = 0, null, l_extendedprice * l_discount)"),
     "transaction_date": ("lineitem", "cast(l_shipdate as date)"),
@@ -37,6 +46,8 @@ _SALES = {
     "store_location": ("supplier", "n_name"),
 }
 
+SALES_COLUMNS = tuple(_SALES)
+
 SALES_SQL = """sales AS (
   SELECT l_orderkey AS transaction_id, l_linenumber AS line_number, l_partkey AS product_id,
          l_suppkey AS supplier_id, l_quantity AS quantity,
@@ -162,8 +173,13 @@ STOCK_SQL = """stock AS (
 
 
 def stock(spark: SparkSession, sf_dir: str, *extra_keys: str) -> DataFrame:
-    """Daily prices per symbol; the partial aggregation folds a hot symbol on the map side."""
-    moment = F.struct("ts", "event_id")
+    """Daily prices per symbol; the partial aggregation folds a hot symbol on the map side.
+
+    Time and id make one number, which a hash aggregate can keep in place; a struct would make every
+    task sort its events.
+    """
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(18,0)")
+    moment = micros * F.lit(Decimal(10**19)) + F.col("event_id").cast("decimal(19,0)")
     return (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("symbol"), *extra_keys, F.to_date("ts").alias("date"))
@@ -343,7 +359,7 @@ def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = F.struct(
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         F.col("l_discount").alias("discount"),
     )
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"]

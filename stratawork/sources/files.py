@@ -69,12 +69,17 @@ def file_manifest(scan: DataFrame) -> DataFrame:
     )
 
 
-def file_size_audit(scan: DataFrame, max_size_mb: float = 10.0) -> DataFrame:
-    """Size of every file behind a scan and whether it is within the limit."""
-    files = scan.select(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
-    ).distinct()
-    return files.withColumn("within_limit", F.col("file_size") <= F.lit(int(max_size_mb * MEGABYTE)))
+def file_size_audit(spark: SparkSession, path: str, max_size_mb: float = 10.0) -> DataFrame:
+    """Size of every file below a path and whether it is within the limit.
+
+    Sizes come from the file listing; no content is read.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(
+        F.col("path").alias("file_path"),
+        F.col("length").alias("file_size"),
+        (F.col("length") <= F.lit(int(max_size_mb * MEGABYTE))).alias("within_limit"),
+    )
 
 
 def validate_file_size(spark: SparkSession, file_path: str, max_size_mb: float = 10.0) -> bool:

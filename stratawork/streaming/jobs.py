@@ -15,6 +15,7 @@ from ..workspace import new_folder
 def rate_columns(df: DataFrame) -> DataFrame:
     """Derived transaction columns of a ``(timestamp, value)`` rate stream."""
     value = F.col("value")
+    # Offsets and periods of the derived numbers.
     return df.select(
         (value + 3000).alias("transaction_id"),
         (value % 3 + 101).alias("product_id"),
@@ -120,8 +121,8 @@ class UpsertLog:
     """Upsert sink whose cost follows the batch and not the table.
 
     Batch *n* writes its newest row per key to a folder of its own; a replayed batch rewrites
-    that folder from the same input, so the sink is effectively exactly-once. Reading takes,
-    per key, the row of the latest batch, as a merge of the batches in turn would.
+    that folder from the same input, so the sink is effectively exactly-once. Reading takes, per
+    key, the last row by ``order_by``, whatever batch brought it; the later batch wins ties.
     """
 
     def __init__(self, spark: SparkSession, base: str, schema: T.StructType, keys: list[str], order_by: list[str]):
@@ -135,5 +136,5 @@ class UpsertLog:
     def read(self) -> DataFrame:
         stored = T.StructType([*self.schema.fields, T.StructField("_batch", T.LongType())])
         log = self.spark.read.schema(stored).parquet(self.base)
-        newest = remove_duplicates(log, self.keys, keep="last", order_by=["_batch", *self.order_by])
+        newest = remove_duplicates(log, self.keys, keep="last", order_by=[*self.order_by, "_batch"])
         return newest.drop("_batch")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor a checkpoint directory exists (unit tests) a local
-    folder is made and set, once per session.
+    Only in local mode (one machine, unit tests) a folder is made where neither the setting nor a
+    checkpoint directory exists. On a cluster that is an error, as machines do not see each
+    other's folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not current and not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not current:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratawork-"))
         current = spark.sparkContext.getCheckpointDir()
@@ -29,6 +34,24 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/stratawork/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`new_folder` with all that is in it."""
+    if not path.startswith(f"{shared_root(spark)}/stratawork/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str):
+    """A scratch folder that is removed at the end; use it where the result is read inside."""
+    path = new_folder(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

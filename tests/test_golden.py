@@ -5,10 +5,14 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from stratawork.catalog import distinct_schema_names
 from stratawork.functions.labels import amount_band, loyalty_score, performance_tier, risk_level
 from stratawork.functions.names import schema_name, schema_name_for
+from stratawork.functions.numbers import money_mean, money_sum
 from stratawork.functions.udfs import amount_band_udf, loyalty_score_udf
 from stratawork.operators import campaigns, cleanse, finance, merge, nested, profile, quality, sales
+from stratawork.operators.nested import pages_until_empty
+from stratawork.operators.ordered import ordered_scan
 
 
 def test_campaign_ratios(spark):
@@ -177,16 +181,60 @@ def products(spark, data):
 def test_watermark_load(spark):
     target = products(spark, [(1, 10), (2, 11), (3, 12)])
     batch = products(spark, [(1, 14), (3, 12), (4, 13), (5, 15)])
-    merged, mark = merge.load_after_timestamp(target, batch, ["id"], "modified")
-    assert merged.count() == 5 and mark == dt.datetime(2024, 1, 15, 15)
-    again, mark = merge.load_after_timestamp(merged, batch.limit(0), ["id"], "modified")
-    assert again.count() == 5 and mark == dt.datetime(2024, 1, 15, 15)
+    load = merge.load_after_timestamp(target, batch, ["id"], "modified")
+    assert load.merged.count() == 5 and load.next_mark() == dt.datetime(2024, 1, 15, 15)
+    again = merge.load_after_timestamp(load.merged, batch.limit(0), ["id"], "modified")
+    assert again.merged.count() == 5 and again.next_mark() == dt.datetime(2024, 1, 15, 15)
     late = products(spark, [(9, 12)])
-    strict, _ = merge.load_after_timestamp(target, late, ["id"], "modified")
-    inclusive, _ = merge.load_after_timestamp(target, late, ["id"], "modified", inclusive=True)
-    assert (strict.count(), inclusive.count()) == (3, 4)
-    first, _ = merge.load_after_timestamp(target.limit(0), batch, ["id"], "modified")
-    assert first.count() == 4
+    strict = merge.load_after_timestamp(target, late, ["id"], "modified", inclusive=False)
+    inclusive = merge.load_after_timestamp(target, late, ["id"], "modified")
+    assert (strict.merged.count(), inclusive.merged.count()) == (3, 4)
+    first = merge.load_after_timestamp(target.limit(0), batch, ["id"], "modified")
+    assert first.merged.count() == 4
+
+
+def test_rows_that_cannot_be_placed_are_not_lost(spark, rows):
+    target = products(spark, [(1, 10), (3, 12)])
+    batch = products(spark, [(3, 12), (4, 12)]).unionByName(spark.createDataFrame([(2, None)], "id int, modified timestamp"))
+    load = merge.load_after_timestamp(target, batch, ["id"], "modified")
+    assert [r[0] for r in rows(load.merged)] == [1, 3, 4]
+    assert rows(load.rejected) == [(2, None)]
+    events = spark.createDataFrame([("a", 1), ("a", 5), ("a", None), ("b", 1)], "kind string, at int")
+    marks = spark.createDataFrame([("a", 3)], "kind string, mark int")
+    assert rows(merge.resume_by_partition(events, marks, "kind", "at", "mark")) == [("a", 5), ("a", None), ("b", 1)]
+    raw = [("x1", 9.0), ("7", 5.0), ("7", 6.0), ("x2", 3.0)]
+    schema = "order_id string, customer_email string, product string, amount string, order_date string, status string"
+    table = spark.createDataFrame([(i, "a", "p", str(n), "2024-01-01", "s") for i, n in raw], schema)
+    cleaned = cleanse.clean_orders(table, ["amount"])
+    assert rows(cleaned, "order_id", "amount", "is_valid") == [(7, 5.0, True), (None, 3.0, False), (None, 9.0, False)]
+
+
+def test_money_is_added_up_without_rounding_rows(spark):
+    def total(values):
+        df = spark.createDataFrame([(v,) for v in values], "price double")
+        return df.agg(money_sum("price"), money_mean("price")).first()
+
+    assert tuple(map(float, total([0.004] * 3))) == (0.012, 0.004)
+    assert float(total([0.1] * 1000)[0]) == 100.0
+    assert float(total([9e12, 0.25])[0]) == 9000000000000.25
+    assert tuple(total([None])) == (None, None)
+    for value in (1e17, 0.1234567, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="price: .* does not fit 6 decimals"):
+            total([value])
+    with pytest.raises(TypeError, match="running sums"):
+        df = spark.createDataFrame([(1, 0.5)], "id long, price double")
+        ordered_scan(df, ["id"], ["id"], running={"r": F.col("price")})
+
+
+def test_names_without_a_base_stay(spark, rows):
+    users = spark.createDataFrame([("a", "x@b"), ("a", "y@b"), (None, "z@b")], "base_name string, email string")
+    named = distinct_schema_names(users)
+    assert rows(named, "email", "schema_name") == [("x@b", "a_1"), ("y@b", "a_2"), ("z@b", None)]
+
+
+def test_pages_of_an_unknown_group_stay(spark, rows):
+    pages = spark.createDataFrame([(None, 0, [(1,)]), (None, 1, []), (None, 2, [(2,)]), (5, 0, [(3,)])], "g int, page int, data array<struct<x: int>>")
+    assert rows(pages_until_empty(pages, "page", "data", ["g"]), "g", "x") == [(5, 3), (None, 1)]
 
 
 def test_sequence_load(spark):

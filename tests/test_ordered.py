@@ -74,7 +74,8 @@ def test_hot_group_is_cut_into_slices(skewed, monkeypatch):
     monkeypatch.setattr(ordered, "durable", watched)
     ordered.ordered_scan(skewed, ["k"], ["id"], row_number="rn", max_group_rows=500).count()
     assert [r[0] for r in written[0].collect()] == ["hot"]
-    sizes = written[1].groupBy("k", "__slice").count()
+    # keys, input, slices
+    sizes = written[2].groupBy("k", "__slice").count()
     sizes = [r["count"] for r in sizes.collect()]
     assert sum(sizes) == skewed.filter("k = 'hot'").count()
     assert len(sizes) > 4 and max(sizes) <= 500

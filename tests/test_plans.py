@@ -2,11 +2,12 @@
 
 import re
 
-import __spark_entry__ as contract
 import pytest
 from pyspark.sql import functions as F
 
+from stratawork.plans import catalogue
 from stratawork.operators import joins, sales as op
+from stratawork.operators.quality import null_profile
 from stratawork.plans.views import sales, table
 
 
@@ -14,11 +15,11 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-QUERIES = contract.queries()
+QUERIES = catalogue.QUERIES
 LAZY = [
     n
     for n in sorted(QUERIES)
-    if not re.match(r"stream_|scan_csv|scan_json|file_to_gold|quality_flow|medallion|campaign_flow|api_|paged|partition_pruned", n)
+    if not re.match(r"stream_|scan_csv|scan_json|csv_file|table_schema|table_append|partition_replaced|file_to_gold|quality_flow|medallion|campaign_flow|api_|paged|partition_pruned", n)
 ]
 
 
@@ -99,7 +100,19 @@ def test_top_k_does_not_sort_everything(spark, sf):
 
 
 def test_null_profile_is_one_scan(spark, sf):
-    assert physical(QUERIES["null_profile"](spark, sf)).count("FileScan") == 1
+    lines = table(spark, sf, "lineitem")
+    assert physical(null_profile(lines)).count("FileScan") == 1
+
+
+def test_lines_fold_below_the_first_join(spark, sf):
+    for name in ("category_region", "daily_store_summary", "silver_daily_sales", "tumbling_weekly", "dept_revenue"):
+        plan = physical(QUERIES[name](spark, sf))
+        assert re.search(r"Join(?:(?!Join).)*partial_sum(?:(?!Join).)*lineitem", plan, re.DOTALL), name
+
+
+def test_stock_needs_no_sorted_aggregate(spark, sf):
+    for name in ("stock_summary", "stock_detailed", "user_series_detailed", "avg_close_since"):
+        assert "SortAggregate" not in physical(QUERIES[name](spark, sf)), name
 
 
 def test_change_feed_is_one_scan(spark, sf):

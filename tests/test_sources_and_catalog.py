@@ -74,7 +74,7 @@ def test_file_checks(spark, tmp_path):
     scan = files.ingest_csv(spark, str(tmp_path))
     manifest = {r["filename"]: r["record_count"] for r in files.file_manifest(scan).collect()}
     assert manifest == {"small.csv": 1, "large.csv": 2000}
-    audit = {r["file_path"].rsplit("/")[-1]: r["within_limit"] for r in files.file_size_audit(scan, 0.001).collect()}
+    audit = {r["file_path"].rsplit("/")[-1]: r["within_limit"] for r in files.file_size_audit(spark, str(tmp_path), 0.001).collect()}
     assert audit == {"small.csv": True, "large.csv": False}
 
 
