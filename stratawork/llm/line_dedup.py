@@ -1,8 +1,8 @@
 """Removal of repeated runs of lines, found by winnowing over line hashes.
 
-A line ends at a newline or behind a sentence mark. A run is a row of whole lines; it is a repeat if
-it holds ``min_words`` words or more and occurred before, in an earlier document or further up
-in its own.
+A line ends at a newline or behind a sentence mark with a blank after it. Lines are equal if their bytes
+are, blanks at the ends aside. A run is a row of whole lines; it is a repeat if it holds ``min_words``
+words or more and occurred before, in an earlier document or further up in its own.
 
 1. Winnow. A gram is the shortest run from a line with ``gram_words`` words. Each window, the
    shortest run from a line with ``min_words`` words, selects the smallest hash among its grams.
@@ -21,42 +21,55 @@ per place, and no pairs of places are made.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import Rows, kept, text_rows
+from .storage import kept, small_batches
 
 MIN_WORDS = 50
 GRAM_WORDS = 20
-#: Separators: they belong to the line before them.
-LINE_END = re.compile(r"\n\s*|(?<=[.!?])\s+")
+# ASCII blanks, and the marks that end a sentence.
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+STOP = np.isin(np.arange(256), list(b".!?"))
 # Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 KEY = ("doc_id", "text_hash")
+#: Rows of a batch that are worked on before their results are handed on.
+SLICE = 128
 
 
-def line_starts(text: str) -> list[int]:
-    """Where each line of ``text`` begins; blank text is one line."""
-    starts = [0]
-    starts.extend(m.end() for m in LINE_END.finditer(text) if 0 < m.end() < len(text))
-    return starts
+class Lines:
+    """The lines of a UTF-8 text: where they start, their words, and hashes of runs of them.
 
+    Blanks between two lines belong to the earlier one, blanks before the first word to the first line.
+    A text without words has no lines.
+    """
 
-class Lines:
-    """Line hashes and words of one text, and hashes of runs of its lines."""
-
-    def __init__(self, text: str):
-        self.starts = line_starts(text)
-        ends = [*self.starts[1:], len(text)]
-        lines = [text[a:b].split() for a, b in zip(self.starts, ends)]
-        self.n = len(lines)
-        words = np.array([len(w) for w in lines], np.int64)
-        digest = b"".join([xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in lines])
-        hashes = np.frombuffer(digest, ">u8").reshape(-1, 2).astype(np.uint64)
-        self.before = np.concatenate([[0], np.cumsum(words)])
+    def __init__(self, data):
+        raw = np.frombuffer(data, np.uint8)
+        blank = np.ones(len(raw) + 2, bool)
+        blank[1:-1] = BLANK[raw]
+        turns = np.flatnonzero(blank[1:] != blank[:-1])
+        begins, ends = turns[::2], turns[1::2]
+        newlines = np.flatnonzero(raw == 10)
+        broken = np.searchsorted(newlines, begins[1:]) > np.searchsorted(newlines, ends[:-1])
+        new = np.ones(len(begins), bool)
+        new[1:] = broken | STOP[raw[ends[:-1] - 1]]
+        first = np.flatnonzero(new)
+        self.n, self.size = len(first), len(raw)
+        last = np.append(first[1:], len(begins)) - 1
+        self.begins, self.ends = begins[first], ends[last] if self.n else ends
+        self.before = np.concatenate([[0], np.cumsum(last[: self.n] - first + 1)])
+        self.view = memoryview(data)
+
+    def hashed(self) -> "Lines":
+        """Prepares :meth:`run_hash`."""
+        view, digest = self.view, xxhash.xxh3_128_digest
+        found = b"".join([digest(view[a:b]) for a, b in zip(self.begins.tolist(), self.ends.tolist())])
+        hashes = np.frombuffer(found, ">u8").reshape(-1, 2).astype(np.uint64)
         self.sums, self.back = [], []
         for column, base in enumerate(BASES):
             power, back = np.full((2, self.n + 1), base, np.uint64)
@@ -65,6 +78,16 @@ class Lines:
             total = np.cumsum(hashes[:, column] * np.cumprod(power)[:-1])
             self.sums.append(np.concatenate([np.zeros(1, np.uint64), total]))
             self.back.append(np.cumprod(back))
+        return self
+
+    def without(self, gone: np.ndarray) -> bytes:
+        """The text without the lines numbered ``gone``."""
+        starts = self.begins.copy()
+        starts[0] = 0
+        stops = np.append(starts[1:], self.size)
+        stay = np.ones(self.n, bool)
+        stay[gone] = False
+        return b"".join([self.view[a:b] for a, b in zip(starts[stay].tolist(), stops[stay].tolist())])
 
     def run_hash(self, first: np.ndarray, last: np.ndarray, column: int) -> np.ndarray:
         """Hash of lines ``first`` to ``last``: sum of line hash times base^(line - first), mod 2^64, then mixed."""
@@ -114,8 +137,27 @@ class Lines:
         return first, chosen, value[chosen]
 
 
-def _signed(values: np.ndarray) -> list[int]:
-    return values.astype(np.uint64).view(np.int64).tolist()
+def _by_row(batches, work, names: tuple[str, ...], kinds: tuple):
+    """Output batches of ``work(text buffer, other columns of the row)``: arrays of equal length, or None for no rows.
+
+    The row's key stands before the named columns.
+    """
+    schema = pa.schema([(k, pa.int64()) for k in KEY] + list(zip(names, kinds)))
+    for batch in batches:
+        more = [c for c in batch.schema.names if c not in (*KEY, "text")]
+        for at in range(0, batch.num_rows, SLICE):
+            part = batch.slice(at, SLICE)
+            texts, others = part.column("text"), [part.column(c) for c in more]
+            rows, found = [], []
+            for i in range(part.num_rows):
+                if texts[i].is_valid and (result := work(texts[i].as_buffer(), *[c[i].as_py() for c in others])) is not None:
+                    rows.append(i)
+                    found.append(result)
+            if rows:
+                each = pa.array(np.repeat(rows, [len(f[0]) for f in found]))
+                columns = [part.column(k).take(each) for k in KEY]
+                columns += [pa.array(np.concatenate([f[c] for f in found]), kind) for c, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -133,48 +175,44 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
     """
     if not 0 < gram_words <= min_words:
         raise ValueError("a gram must fit into the shortest repeat")
-    mark_schema = "doc_id long, text_hash long, line int, mark long"
+    small_batches(docs.sparkSession)
+
+    def marks_of(data):
+        if len(data) < 2 * min_words - 1:
+            return None
+        lines = Lines(data)
+        if lines.before[-1] < min_words:
+            return None
+        _, at, value = lines.hashed().selected(gram_words, min_words)
+        new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        return at[new], value[new].view(np.int64)
 
     def winnow(batches):
-        out = Rows(mark_schema)
-        for key, text in text_rows(batches, KEY):
-            if not text or len(text) < 2 * min_words - 1:
-                continue
-            _, at, value = Lines(text).selected(gram_words, min_words)
-            new = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0] if len(at) else at
-            for line, mark in zip(at[new].tolist(), _signed(value[new])):
-                out.add(*key, line, mark, size=32)
-            if out.full():
-                yield out.batch()
-        yield out.batch()
+        return _by_row(batches, marks_of, ("line", "mark"), (pa.int32(), pa.int64()))
 
     keyed = _keyed(docs)
-    marks = kept(keyed.mapInArrow(winnow, mark_schema), "marks")
+    marks = kept(keyed.mapInArrow(winnow, "doc_id long, text_hash long, line int, mark long"), "marks")
     often = kept(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("mark").alias("seen")), "repeated-marks")
     places = marks.join(often, marks["mark"] == often["seen"], "left_semi")
     places = places.groupBy(*KEY).agg(F.collect_list("line").alias("lines")).toDF("key_id", "key_hash", "lines")
     places = kept(places, "places")
 
-    window_schema = "doc_id long, text_hash long, first int, last int, high long, low long"
+    def windows_of(data, places):
+        lines = Lines(data).hashed()
+        first, at, _ = lines.selected(gram_words, min_words)
+        hit = np.isin(at, places)
+        begin, end = lines.forward(min_words)
+        back, stop = lines.backward(min_words)
+        # a run up to a line begins with the window of its first line
+        again = np.isin(back, first[hit])
+        code = np.unique(np.concatenate([begin[hit] << 32 | end[hit], back[again] << 32 | stop[again]]))
+        runs = code >> 32, code & 0xFFFFFFFF
+        return *runs, *[lines.run_hash(*runs, c).view(np.int64) for c in (0, 1)]
 
     def extend(batches):
-        out = Rows(window_schema)
-        for key, text in text_rows(batches, (*KEY, "lines")):
-            lines = Lines(text)
-            first, at, _ = lines.selected(gram_words, min_words)
-            hit = np.isin(at, key[2])
-            begin, end = lines.forward(min_words)
-            back, stop = lines.backward(min_words)
-            # a run up to a line begins with the window of its first line
-            again = np.isin(back, first[hit])
-            runs = np.unique(np.concatenate([np.stack([begin[hit], end[hit]], 1), np.stack([back[again], stop[again]], 1)]), axis=0)
-            high, low = (_signed(lines.run_hash(runs[:, 0], runs[:, 1], c)) for c in (0, 1))
-            for (a, b), x, y in zip(runs.tolist(), high, low):
-                out.add(*key[:2], a, b, x, y, size=40)
-            if out.full():
-                yield out.batch()
-        yield out.batch()
+        return _by_row(batches, windows_of, ("first", "last", "high", "low"), (pa.int32(), pa.int32(), pa.int64(), pa.int64()))
 
+    window_schema = "doc_id long, text_hash long, first int, last int, high long, low long"
     found = keyed.join(places, _same(keyed, places)).select(*KEY, "lines", "text")
     windows = kept(found.mapInArrow(extend, window_schema), "windows")
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash", "first")
@@ -187,36 +225,29 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """All rows of ``docs`` with later repeats cut out of ``text``, and ``n_lines`` and ``n_removed``.
+    """All rows of ``docs`` with later repeats cut out of ``text``, and ``n_removed``, the lines cut.
 
     Rows stay even if their whole text was a repeat (then it is empty). NULL and short texts have no
     repeats. Rows with equal ``doc_id`` and text count as one place and are cut alike. A NULL
     ``doc_id`` comes after all others. Other columns are passed on.
     """
-    gone = repeated_lines(docs, min_words, gram_words).toDF("key_id", "key_hash", "gone")
+    gone = repeated_lines(docs, min_words, gram_words).toDF("key_id", "key_hash", "__gone")
     digest = F.xxhash64("text")
     same = docs["doc_id"].cast("long").eqNullSafe(gone["key_id"]) & (digest == gone["key_hash"])
-    rows = docs.join(gone, same, "left").select(*docs.columns, "gone")
-    names = [c for c in rows.columns]
+    rows = docs.join(gone, same, "left").select(*docs.columns, "__gone")
+    names = docs.columns
 
     def cut(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            columns = {c: batch.column(c) for c in names}
-            texts, lines, removed = [], [], []
-            for text, lost in zip(columns["text"].to_pylist(), columns["gone"].to_pylist()):
-                starts = line_starts(text) if text else []
-                if lost:
-                    ends, lost_set = [*starts[1:], len(text)], set(lost)
-                    text = "".join(text[a:b] for k, (a, b) in enumerate(zip(starts, ends)) if k not in lost_set)
-                texts.append(text)
-                lines.append(len(starts))
-                removed.append(len(lost or ()))
-            columns["text"] = pa.array(texts, pa.string())
-            columns |= {"n_lines": pa.array(lines, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
-            columns.pop("gone")
+            text, lost = batch.column("text"), batch.column("__gone")
+            hit = lost.is_valid()
+            if pc.any(hit).as_py():
+                rows = np.flatnonzero(hit.to_numpy(zero_copy_only=False)).tolist()
+                left = [Lines(text[i].as_buffer()).without(np.array(lost[i].as_py())).decode() for i in rows]
+                text = pc.replace_with_mask(text, hit, pa.array(left, text.type))
+            removed = pc.fill_null(pc.list_value_length(lost), 0).cast(pa.int64())
+            columns = {c: batch.column(c) for c in names} | {"text": text, "n_removed": removed}
             yield pa.RecordBatch.from_pydict(columns)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return rows.mapInArrow(cut, ", ".join([*fields, "n_lines long", "n_removed long"]))
+    return rows.mapInArrow(cut, ", ".join([*fields, "n_removed long"]))

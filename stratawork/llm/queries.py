@@ -62,8 +62,7 @@ def op1_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "text", "n_lines", "n_removed")
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
 @oracle("""

@@ -55,6 +55,13 @@ ARROW = {
 }
 
 
+def small_batches(spark) -> None:
+    """Have Spark hand texts to Python in batches of 16 MB at most: several are held at once on either side."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key)).rstrip("b")) > 16 << 20:
+        spark.conf.set(key, str(16 << 20))
+
+
 class Rows:
     """Collects output rows of a task and turns them into Arrow batches of bounded size.
 
