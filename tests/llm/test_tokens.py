@@ -31,8 +31,11 @@ def odd(spark):
     return spark.createDataFrame(ODD, SCHEMA)
 
 
+TOKENIZERS = {path: Tokenizer.from_file(path) for path in (BYTE, WORD)}
+
+
 def library(path, text):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return TOKENIZERS[path].encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.fixture(scope="module", params=[BYTE, WORD])
@@ -51,15 +54,17 @@ def test_pieces_equal_the_library(pair):
         assert encoder.ids(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+ENCODERS = {path: PieceEncoder(path) for path in (BYTE, WORD)}
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_pieces_of_any_text(text):
     for path in (BYTE, WORD):
-        encoder = ENCODERS.setdefault(path, PieceEncoder(path))
+        encoder = ENCODERS[path]
         assert encoder.ids(text) == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-ENCODERS: dict = {}
 
 
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=50))
