@@ -16,7 +16,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import Rows, text_rows
+from .storage import Rows, small_batches, text_rows
 
 #: Hash buckets of the n-grams.
 BUCKETS = 4096
@@ -88,6 +88,7 @@ def fit(train: DataFrame) -> Model:
     """
     train = train.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
     spark = train.sparkSession
+    small_batches(spark)
     sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     none = np.zeros((0, BUCKETS), np.float32)
@@ -173,6 +174,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     NULL texts and texts without a letter are ``und`` with score 0, as is everything without a learned
     language; ties go to the first language in order. Only ``text`` decides.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, lang_pred string, score double, rejected boolean"
 

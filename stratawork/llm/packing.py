@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .pieces import encoder
-from .storage import Rows, kept, numbered, text_rows
+from .storage import Rows, kept, numbered, small_batches, text_rows
 
 
 def sweep(counts: dict[int, int], limit: int) -> np.ndarray:
@@ -108,6 +108,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int = 0) -
     Only documents longer than ``limit`` are cut. NULL and empty texts have the end id alone;
     other columns are ignored. Ids are little-endian unsigned 32-bit.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long"
     end, step = np.array([end_id], "<u4").tobytes(), 4 * limit
 

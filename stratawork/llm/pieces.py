@@ -22,7 +22,7 @@ import numpy as np
 
 #: Words whose ids a worker remembers in each of two generations; the older one is forgotten as the
 #: younger fills up, and words met again move to the younger.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 300_000
 #: Longer words are not remembered.
 WORD_CHARS = 48
 

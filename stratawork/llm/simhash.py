@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .components import components, star_edges
-from .storage import Rows, kept, text_rows
+from .storage import Rows, kept, small_batches, text_rows
 
 #: Rows of a bucket that one task compares with each other.
 BLOCK = 2048
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
     Words are runs of bytes other than blanks, A-Z in lower case. NULL texts have no words, so
     like empty ones they get 0.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, text_hash long, fp long"
 
     def run(batches):

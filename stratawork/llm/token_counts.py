@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .pieces import encoder
-from .storage import Rows, kept, text_rows
+from .storage import Rows, kept, small_batches, text_rows
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
@@ -31,6 +31,7 @@ def token_counts(
 
     NULL and empty texts count 0; repeated rows are counted each; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     huge = F.length("text") > 2 * chunk
     schema = "doc_id long, n_bytes long, n_tokens long"

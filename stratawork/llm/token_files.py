@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from stratawork.workspace import new_folder
 
 from .pieces import encoder
-from .storage import ROW_BITS, Rows, kept, text_rows, written
+from .storage import ROW_BITS, Rows, kept, small_batches, text_rows, written
 
 # Fixed value: bytes of each of the four ids a control byte stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.int32)
@@ -65,6 +65,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> D
 
     NULL and empty texts have the end id alone. One pass, no shuffle; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, ids binary"
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
