@@ -133,14 +133,8 @@ def _stars(fps: np.ndarray, distance: int, split: int | None = None) -> tuple[np
     return fps[low], fps[other]
 
 
-def links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
-    """Edges ``a``, ``b`` between distinct fingerprints (column ``fp``) with the components of all links.
-
-    Every link at ``distance`` (4 at most) or fewer bits lies inside a component of these edges, and
-    every edge lies inside a component of links.
-    """
-    if not 0 <= distance <= 4:
-        raise ValueError("two segments with at most 2 errors are certain up to 4 differing bits")
+def keyed(fps: DataFrame) -> DataFrame:
+    """``bucket`` and ``fp`` for all buckets of every row's fingerprint."""
     key_schema = pa.schema([("bucket", pa.int64()), ("fp", pa.int64())])
 
     def keys(batches):
@@ -152,6 +146,22 @@ def links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
                 rows, buckets = bucket_keys(part, *tables)
                 yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(part[rows])], schema=key_schema)
 
+    return fps.select("fp").mapInArrow(keys, "bucket long, fp long")
+
+
+def links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
+    """Edges ``a``, ``b`` between distinct fingerprints (column ``fp``) with the components of all links.
+
+    Every link at ``distance`` (4 at most) or fewer bits lies inside a component of these edges, and
+    every edge lies inside a component of links.
+    """
+    if not 0 <= distance <= 4:
+        raise ValueError("two segments with at most 2 errors are certain up to 4 differing bits")
+    return bucket_links(fps, distance, block)
+
+
+def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
+    """As :func:`links` at any ``distance``, for the links that share a bucket."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()), ("block", pa.int32())])
 
     def edges(a, b):
@@ -217,8 +227,7 @@ def links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
                 yield edges(fp[near], fp[near + step])
 
     text = "a long, b long, bucket long, block int"
-    keyed = fps.select("fp").mapInArrow(keys, "bucket long, fp long")
-    found = kept(keyed.repartition("bucket").sortWithinPartitions("bucket", "fp").mapInArrow(compare, text), "simhash-links")
+    found = kept(keyed(fps).repartition("bucket").sortWithinPartitions("bucket", "fp").mapInArrow(compare, text), "simhash-links")
 
     late = found.filter("bucket is not null").select("bucket", "block", F.col("a").alias("fp"))
     counts = late.groupBy("bucket").agg((F.max("block") + 1).alias("blocks")).withColumnRenamed("bucket", "of")
@@ -261,7 +270,11 @@ def representatives(docs: DataFrame, distance: int = 4, shingle: int = 4) -> Dat
 
     Rows without ``doc_id`` come last, ties go to the smaller text hash, and of identical rows one stays.
     """
-    named = near_duplicates(docs, distance, shingle)
+    return _firsts(docs, near_duplicates(docs, distance, shingle))
+
+
+def _firsts(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The first row of ``docs`` of each ``group`` of ``named``."""
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")).alias("first")
     stay = kept(named.groupBy("group").agg(first).select("first.doc_id", "first.text_hash"), "representatives")
     stay = stay.toDF("stay_id", "stay_hash")
