@@ -1,8 +1,9 @@
 """Removal of repeated runs of lines, found by winnowing over line hashes.
 
-A line ends at a newline or behind a sentence mark with a blank after it. Lines are equal if their bytes
-are, blanks at the ends aside. A run is a row of whole lines; it is a repeat if it holds ``min_words``
-words or more and occurred before, in an earlier document or further up in its own.
+A line ends at a newline or behind a sentence mark with a blank after it. Lines are equal if their words
+are, whatever blanks (also no-break and other Unicode ones) stand between them. A run is a row of whole lines;
+it is a repeat if it holds ``min_words`` words or more and occurred before, in an earlier document or further
+up in its own.
 
 1. Winnow. A gram is the shortest run from a line with ``gram_words`` words. Each window, the
    shortest run from a line with ``min_words`` words, selects the smallest hash among its grams.
@@ -21,6 +22,8 @@ per place, and no pairs of places are made.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +39,10 @@ BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 STOP = np.isin(np.arange(256), list(b".!?"))
 # Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# UTF-8 of the blanks beyond ASCII, and bytes that such blanks or odd ASCII ones begin with.
+WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+FOLDED = re.compile(rb"(?:[ \t\v\f\r]|" + WIDE.pattern + rb")+")
+ODD = np.isin(np.arange(256), [9, 11, 12, 13, 0xC2, 0xE1, 0xE2, 0xE3])
 KEY = ("doc_id", "text_hash")
 #: Rows of a batch that are worked on before their results are handed on.
 SLICE = 128
@@ -52,6 +59,11 @@ class Lines:
         raw = np.frombuffer(data, np.uint8)
         blank = np.ones(len(raw) + 2, bool)
         blank[1:-1] = BLANK[raw]
+        odd = ODD[raw].any()
+        if odd:
+            for m in WIDE.finditer(data):
+                blank[m.start() + 1 : m.end() + 1] = True
+        self.odd = odd or bool((blank[1:-2] & blank[2:-1]).any())
         turns = np.flatnonzero(blank[1:] != blank[:-1])
         begins, ends = turns[::2], turns[1::2]
         newlines = np.flatnonzero(raw == 10)
@@ -68,7 +80,10 @@ class Lines:
     def hashed(self) -> "Lines":
         """Prepares :meth:`run_hash`."""
         view, digest = self.view, xxhash.xxh3_128_digest
-        found = b"".join([digest(view[a:b]) for a, b in zip(self.begins.tolist(), self.ends.tolist())])
+        parts = [view[a:b] for a, b in zip(self.begins.tolist(), self.ends.tolist())]
+        if self.odd:
+            parts = [FOLDED.sub(b" ", p) for p in parts]
+        found = b"".join(map(digest, parts))
         hashes = np.frombuffer(found, ">u8").reshape(-1, 2).astype(np.uint64)
         self.sums, self.back = [], []
         for column, base in enumerate(BASES):
