@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cover_tree, language, line_dedup, mixing, packing, simhash, token_counts, token_files, top_k, toxicity
+from . import cover_tree, decontaminate, language, line_dedup, mixing, packing, simhash, token_counts, token_files, top_k, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -169,3 +169,46 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
     """Learns from the labelled rows of ``docs`` that are not held out."""
     labels = table(spark, sf_dir, "labels")
     return toxicity.fit(docs.filter(~language.held_out(docs, 3, 1)), labels.filter(~language.held_out(labels, 3, 1)))
+
+
+def _words(text: str) -> str:
+    """SQL for the words of a text as decontamination takes them."""
+    capitals = decontaminate.CAPITALS
+    lowered = f"translate({text}, '{capitals}', '{capitals.lower()}')"
+    return f"coalesce(list_filter(regexp_split_to_array({lowered}, '{decontaminate.BETWEEN}'), lambda w: w <> ''), [])"
+
+
+@oracle(f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_words('text')} AS w FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_words('text')} AS w FROM benchmark
+), grams AS (
+  SELECT DISTINCT item, w[s : s + 9] AS gram
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)
+), lengths AS (
+  SELECT DISTINCT len(gram) AS n FROM grams
+), places AS (
+  SELECT r, s, n, w[s : s + n - 1] AS gram FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS s FROM docs), lengths WHERE s + n - 1 <= len(w)
+), found AS (
+  SELECT r, s, n, item FROM places JOIN grams USING (gram)
+), hit AS (
+  SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS i FROM (SELECT DISTINCT r, s, n FROM found)) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM found GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""")
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
