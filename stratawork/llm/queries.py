@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cover_tree, decontaminate, language, line_dedup, mixing, packing, simhash, token_counts, token_files, top_k, toxicity
+from . import align, cover_tree, decontaminate, language, line_dedup, mixing, packing, periods, simhash, token_counts, token_files, top_k, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -212,3 +212,45 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` in which a tenth of the ids get a periodic tail: words from ``a`` on repeat the ``p`` words there."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(number / 10)
+    rows = docs.select("doc_id", "text", (number % 10).alias("rest"), g.alias("g"), F.array_remove(F.split("text", "[ \\t-\\r]+"), "").alias("w"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.try_mod(F.col("g"), F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a")))
+    planted = (F.col("rest") == 0) & (F.col("n") > 0)
+    return rows.select("doc_id", F.when(planted, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(repeated_tails(table(spark, sf_dir, "documents")))
+
+    def longer(best, run):
+        return best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.reduce("runs", none, lambda best, run: F.when(longer(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.withColumn("best", best)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = align.alignments(table(spark, sf_dir, "documents"), *files, with_groups=False)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
