@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .functions.names import schema_name_for
 from .operators.joins import join_null_safe
 from .operators.ordered import DEFAULT, ordered_scan
+from .operators.profile import counted
 from .sources.files import ingest_csv, with_lineage
 
 LAYERS = ("bronze", "silver", "gold")
@@ -119,6 +123,40 @@ def ingest_all(layers: Layers, sources: dict[str, DataFrame], mode: str = "appen
     return layers.inventory("bronze_")
 
 
+INVENTORY = "source string, status string, record_count long, error string"
+
+
+def ingest_sources(
+    spark: SparkSession,
+    sources: dict[str, Callable[[], DataFrame]],
+    write: Callable[[DataFrame, str], object],
+    discard: Callable[[str], object] | None = None,
+) -> DataFrame:
+    """Land every source that can be read, set aside those that cannot; the inventory of the run.
+
+    ``write(df, name)`` lands one source. Rows are counted by an observation of that write, not by another
+    scan. A source that fails, as it is opened or while its rows are read, is reported with the condition of its
+    error; ``discard(name)`` removes what it left, and the others go on.
+    """
+    found = []
+    for name, open_source in sources.items():
+        try:
+            rows, seen = counted(with_lineage(open_source(), source_system=name), f"ingest {name}")
+            write(rows, name)
+            found.append((name, "LANDED", seen.get["rows"], None))
+        except PySparkException as error:
+            if discard:
+                discard(name)
+            found.append((name, "FAILED", None, root_condition(error)))
+    return spark.createDataFrame(found, INVENTORY)
+
+
+def root_condition(error: PySparkException) -> str:
+    """The condition of the innermost named cause of a failed job, such as ``PATH_NOT_FOUND``."""
+    named = re.findall(r"\[([A-Z][A-Z0-9_.]+)\]", str(error))
+    return named[-1] if named else error.getCondition() or type(error).__name__
+
+
 def table_inventory(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     """Name and record count of each frame as one union of counts."""
     if not frames:
@@ -157,6 +195,19 @@ def find_columns(spark: SparkSession, part: str, schema: str | None = None) -> l
     return hits
 
 
+def column_search(spark: SparkSession, part: str, tables: str = "*", schema: str | None = None) -> DataFrame:
+    """``table_name``, ``column_name``, ``data_type`` and ``is_partition`` of matching columns of matching tables.
+
+    The rows come from the catalog and number as its columns do; no table is read.
+    """
+    found = []
+    for table in spark.catalog.listTables(schema, tables):
+        name = table.name if table.isTemporary else f"{'.'.join(table.namespace)}.{table.name}"
+        columns = spark.catalog.listColumns(name)
+        found += [(table.name, c.name, c.dataType, c.isPartition) for c in columns if part.lower() in c.name.lower()]
+    return spark.createDataFrame(found, "table_name string, column_name string, data_type string, is_partition boolean")
+
+
 def describe(spark: SparkSession, table_name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}")
 

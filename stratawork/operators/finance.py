@@ -1,7 +1,8 @@
-"""Daily price series: returns, volatility, validation, summary, portfolio.
+"""Price series: returns, volatility, validation, summary, portfolio.
 
-Series are one row per (symbol, date), which :func:`validate` checks, so a window over one
-symbol holds as many rows as the calendar has days.
+Series are ordered by ``order`` (the date by default), which must be unique within a series. A series of any length
+is fine: long ones are cut into blocks that overlap by the rows a window looks back. Where there is
+one row a day by construction, ``max_group_rows=None`` spares the measurement.
 """
 
 from __future__ import annotations
@@ -10,28 +11,50 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.labels import performance_tier
 from ..functions.numbers import percent, percent_change
+from ..workspace import durable
+from .ordered import DEFAULT, in_blocks
 
 SERIES = ["symbol"]
+BY_DATE = ["date"]
 
 
-def _by_date(keys: list[str]):
-    return Window.partitionBy(*keys).orderBy("date")
+def _along(keys: list[str], order: list[str]):
+    return Window.partitionBy(*keys).orderBy(*order)
 
 
-def calculate_daily_returns(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
-    """Change of close against the previous row of the series, in percent."""
-    previous = F.lag("close").over(_by_date(keys))
+def _daily_return(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    previous = F.lag("close").over(_along(keys, order))
     return df.withColumn("daily_return", F.round(percent_change("close", previous), 4))
 
 
-def calculate_cumulative_returns(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
-    """Change of close against the first row of the series, in percent."""
-    start = F.first("close").over(_by_date(keys).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("cumulative_return", F.round(percent_change("close", start), 4))
+def _cumulative_return(df: DataFrame) -> DataFrame:
+    return df.withColumn("cumulative_return", F.round(percent_change("close", "__start"), 4))
+
+
+def _volatility(df: DataFrame, rows: int, column: str, keys: list[str], order: list[str], name: str) -> DataFrame:
+    trailing = _along(keys, order).rowsBetween(1 - rows, 0)
+    return df.withColumn(name, F.round(F.stddev_samp(column).over(trailing), 4))
 
 
-def _trailing(keys: list[str], rows: int):
-    return _by_date(keys).rowsBetween(1 - rows, 0)
+def _average(df: DataFrame, rows: int, column: str, keys: list[str], order: list[str], name: str) -> DataFrame:
+    trailing = _along(keys, order).rowsBetween(1 - rows, 0)
+    mean = F.avg(F.col(column).cast("decimal(28,8)")).over(trailing)
+    return df.withColumn(name, F.round(mean, 4).cast("double"))
+
+
+def calculate_daily_returns(
+    df: DataFrame, keys: list[str] = SERIES, order: list[str] = BY_DATE, max_group_rows: int | None = DEFAULT
+) -> DataFrame:
+    """Change of close against the previous row of the series, in percent."""
+    return in_blocks(df, keys, order, 1, lambda rows, by: _daily_return(rows, by, order), max_group_rows=max_group_rows)
+
+
+def calculate_cumulative_returns(
+    df: DataFrame, keys: list[str] = SERIES, order: list[str] = BY_DATE, max_group_rows: int | None = DEFAULT
+) -> DataFrame:
+    """Change of close against the first row of the series, in percent."""
+    start = {"__start": "close"}
+    return in_blocks(df, keys, order, 0, lambda rows, _: _cumulative_return(rows), first=start, max_group_rows=max_group_rows)
 
 
 def calculate_rolling_volatility(
@@ -40,10 +63,13 @@ def calculate_rolling_volatility(
     column: str = "daily_return",
     keys: list[str] = SERIES,
     name: str | None = None,
+    order: list[str] = BY_DATE,
+    max_group_rows: int | None = DEFAULT,
 ) -> DataFrame:
     """Sample standard deviation over the last ``window_days`` rows; NULL for fewer than two."""
-    spread = F.stddev_samp(column).over(_trailing(keys, window_days))
-    return df.withColumn(name or f"rolling_volatility_{window_days}d", F.round(spread, 4))
+    name = name or f"rolling_volatility_{window_days}d"
+    spread = lambda rows, by: _volatility(rows, window_days, column, by, order, name)
+    return in_blocks(df, keys, order, window_days - 1, spread, max_group_rows=max_group_rows)
 
 
 def calculate_rolling_average(
@@ -52,10 +78,13 @@ def calculate_rolling_average(
     column: str = "daily_return",
     keys: list[str] = SERIES,
     name: str | None = None,
+    order: list[str] = BY_DATE,
+    max_group_rows: int | None = DEFAULT,
 ) -> DataFrame:
     """Mean over the last ``window_days`` rows, averaged as decimals so that rounding is exact."""
-    mean = F.avg(F.col(column).cast("decimal(28,8)")).over(_trailing(keys, window_days))
-    return df.withColumn(name or f"rolling_average_{window_days}d", F.round(mean, 4).cast("double"))
+    name = name or f"rolling_average_{window_days}d"
+    mean = lambda rows, by: _average(rows, window_days, column, by, order, name)
+    return in_blocks(df, keys, order, window_days - 1, mean, max_group_rows=max_group_rows)
 
 
 def calculate_price_range_metrics(df: DataFrame) -> DataFrame:
@@ -107,14 +136,22 @@ def validate_stock_data(df: DataFrame) -> dict:
     return {**row, "null_counts": nulls}
 
 
-def detailed(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
+def detailed(
+    df: DataFrame, keys: list[str] = SERIES, order: list[str] = BY_DATE, max_group_rows: int | None = DEFAULT
+) -> DataFrame:
     """Returns, ranges, 30-row volatility and 30-row mean return.
 
-    All windows share one partitioning and ordering, hence one shuffle and one sort.
+    All windows share one partitioning and ordering, hence one shuffle and one sort; the measurement
+    is made once for all.
     """
-    series = calculate_cumulative_returns(calculate_daily_returns(df, keys), keys)
-    series = calculate_rolling_volatility(series, 30, keys=keys, name="volatility_30d")
-    series = calculate_rolling_average(series, 30, keys=keys, name="avg_return_30d")
+
+    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
+        rows = _cumulative_return(_daily_return(rows, by, order))
+        rows = _volatility(rows, 30, "daily_return", by, order, "volatility_30d")
+        return _average(rows, 30, "daily_return", by, order, "avg_return_30d")
+
+    # 29 earlier returns, and the close before the first of them
+    series = in_blocks(df, keys, order, 30, compute, first={"__start": "close"}, max_group_rows=max_group_rows)
     return calculate_price_range_metrics(series)
 
 
@@ -158,9 +195,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram between smallest and largest value.
 
     The range is a one-row aggregate used as scalar subqueries; rows fold into at most
-    ``bins`` counters on the map side.
+    ``bins`` counters on the map side. The column is written once, so that neither pass repeats the
+    work behind it.
     """
-    known = df.select(column).filter(F.col(column).isNotNull())
+    known = durable(df.select(column).filter(F.col(column).isNotNull()), "histogram")
     low = known.agg(F.min(column)).scalar()
     high = known.agg(F.max(column)).scalar()
     width = (high - low) / bins

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import join_null_safe
@@ -27,6 +29,24 @@ def parse_json_with_rescue(df: DataFrame, column: str, schema: str) -> DataFrame
     return parsed.select("__p.*")
 
 
+def parse_json_or_stop(df: DataFrame, column: str, schema: str) -> DataFrame:
+    """As :func:`parse_json_or_fail`, with an error that shows the malformed text (see :func:`offending_text`)."""
+    rescued = parse_json_with_rescue(df, column, schema)
+    fields = [c for c in rescued.columns if c != CORRUPT]
+    stop = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(F.concat(F.lit(OFFENDING), CORRUPT)).cast("boolean")).otherwise(True)
+    return rescued.filter(stop).select(*fields)
+
+
+#: Stands before the malformed text in the error.
+OFFENDING = "malformed text: "
+
+
+def offending_text(error: Exception) -> str | None:
+    """The text that stopped :func:`parse_json_or_stop`; None for other errors."""
+    found = re.search(re.escape(OFFENDING) + r"(.*?)(?: SQLSTATE: P0001)?$", str(error), re.MULTILINE)
+    return found and found[1]
+
+
 def split_rescued(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, malformed rows with their raw text)."""
     rescued = F.col(CORRUPT).isNotNull()

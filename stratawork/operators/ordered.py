@@ -13,6 +13,7 @@ last in descending order, as in Spark.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -208,6 +209,54 @@ def _slice_offsets(scanned: DataFrame, keys: list[str], order: list[str], want:
     return offsets.select(*keys, _SLICE, *kept)
 
 
+def in_blocks(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    back: int,
+    compute: Callable[[DataFrame, list[str]], DataFrame],
+    *,
+    first: dict[str, str] | None = None,
+    max_group_rows: int | None = DEFAULT,
+) -> DataFrame:
+    """``compute(df, keys)`` for groups of any size, where its windows look back ``back`` rows at most.
+
+    ``compute`` adds columns by windows over the keys it is given, in ``order``, which must be unique within the group.
+    Rows of groups above ``max_group_rows`` are numbered and cut into blocks; each block also gets the
+    ``back`` rows before it, which only its windows see. ``first`` maps a new column, for ``compute`` to use, to the
+    column whose value in the group's first row it shows. ``max_group_rows=None`` skips the
+    measurement where groups are small by construction.
+    """
+    first = first or {}
+
+    def with_first(rows: DataFrame) -> DataFrame:
+        start = Window.partitionBy(*keys).orderBy(*_ordering(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumns({name: F.first(column).over(start) for name, column in first.items()})
+
+    plain = compute(with_first(df), keys).drop(*first)
+    if max_group_rows is None:
+        return plain
+    limit = max_group_rows or MAX_GROUP_ROWS
+    df = durable(df, "series")
+    large = durable(df.groupBy(*keys).count().filter(F.col("count") > limit), "long-series")
+    if large.isEmpty():
+        return compute(with_first(df), keys).drop(*first)
+    hot_keys = broadcast_when_small(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+    rest = df.join(hot_keys, same, "left_anti")
+    rows = ordered_scan(df.join(hot_keys, same, "left_semi"), keys, order, row_number="__row", max_group_rows=limit)
+    # a block of at least ``back`` rows lends rows to the next block only
+    size = max(limit // 2, back, 1)
+    block, place = F.floor((F.col("__row") - 1) / size), (F.col("__row") - 1) % size
+    lent = F.when(place >= size - back, F.array(block, block + 1)).otherwise(F.array(block))
+    blocks = rows.withColumn("__own_block", block).withColumn("__block", F.explode(lent))
+    if first:
+        heads = durable(rows.filter("__row = 1").select(*keys, *[F.col(c).alias(n) for n, c in first.items()]), "heads")
+        blocks = join_null_safe(blocks, heads, keys, broadcast=measured_bytes(heads) <= DEFAULT_BROADCAST_BYTES)
+    done = compute(blocks, [*keys, "__block"]).filter("__block = __own_block")
+    return compute(with_first(rest), keys).drop(*first).unionByName(done.select(*plain.columns))
+
+
 def running_total_of_peers(
     df: DataFrame,
     keys: list[str],

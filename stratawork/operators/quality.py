@@ -108,7 +108,15 @@ def null_profile(df: DataFrame, count_nan: bool = False) -> DataFrame:
             return column.isNull() | F.isnan(column)
         return column.isNull()
 
-    counters = [F.count_if(missing(f)).alias(f"n{i}") for i, f in enumerate(df.schema.fields)]
+    return profile_of_flags(df.select(*[missing(f).alias(f.name) for f in df.schema.fields]))
+
+
+def profile_of_flags(df: DataFrame) -> DataFrame:
+    """:func:`null_profile` of rows that show for each column whether its value is missing.
+
+    Flags can be set where a column lives; joining them instead of the values keeps wide text out of joins.
+    """
+    counters = [F.count_if(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]
     counted = df.agg(F.count("*").alias("row_count"), *counters)
     entries = [
         F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"))

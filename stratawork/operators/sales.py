@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.labels import amount_band, price_after_discount, price_tier
 from ..functions.numbers import from_units, money_mean, money_sum, ratio, units
 from ..workspace import durable
+from .joins import DEFAULT_BROADCAST_BYTES, measured_bytes
 
 
 def enhance(df: DataFrame) -> DataFrame:
@@ -85,6 +86,59 @@ def unfold_revenue(partial: DataFrame, keys: list[str], name: str = "revenue", c
     return partial.groupBy(*keys).agg(from_units(F.sum("__units")).alias(name), F.sum("__count").alias(count))
 
 
+def _beside_small(facts: DataFrame, dimensions: dict[str, DataFrame], max_bytes: int) -> DataFrame | None:
+    """Facts joined to dimensions by their keys, where all of these measure small enough to be broadcast."""
+    if any(measured_bytes(d) > max_bytes for d in dimensions.values()):
+        return None
+    for key, dimension in dimensions.items():
+        facts = facts.join(F.broadcast(dimension), key)
+    return facts
+
+
+def _folded_beside(facts: DataFrame, dimensions: dict[str, DataFrame], keys: list[str], amount: str) -> DataFrame:
+    """Facts folded per dimension key and joined one dimension after the other."""
+    own = [k for k in keys if k in facts.columns and k not in dimensions]
+    partial = fold(facts, [*dimensions, *own], amount)
+    for key, dimension in dimensions.items():
+        partial = partial.join(dimension, key)
+    return partial
+
+
+def summarize_by(
+    facts: DataFrame,
+    dimensions: dict[str, DataFrame],
+    keys: list[str],
+    amount: str = "total_amount",
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """:func:`summarize` by columns of which some come from ``dimensions`` (join key to rows).
+
+    Dimensions that measure small are broadcast, and the facts meet no shuffle before they are folded to the
+    groups asked for. Otherwise facts fold per join key first, which keeps a hot key out of the shuffle
+    of the join; where nearly every fact is a group of its own that only adds work, hence the measurement.
+    """
+    joined = _beside_small(facts, dimensions, max_bytes)
+    if joined is not None:
+        return summarize(joined, keys, amount)
+    return unfold(_folded_beside(facts, dimensions, keys, amount), keys)
+
+
+def revenue_by(
+    facts: DataFrame,
+    dimensions: dict[str, DataFrame],
+    keys: list[str],
+    amount: str = "total_amount",
+    name: str = "revenue",
+    count: str = "transactions",
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """:func:`revenue` by columns of which some come from ``dimensions``, as in :func:`summarize_by`."""
+    joined = _beside_small(facts, dimensions, max_bytes)
+    if joined is not None:
+        return joined.groupBy(*keys).agg(money_sum(amount).alias(name), F.count("*").alias(count))
+    return unfold_revenue(_folded_beside(facts, dimensions, keys, amount), keys, name, count)
+
+
 def revenue(df: DataFrame, keys: list, amount: str = "total_amount", name: str = "revenue") -> DataFrame:
     return df.groupBy(*keys).agg(
         money_sum(amount).alias(name), F.count("*").alias("transactions")

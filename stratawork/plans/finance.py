@@ -56,8 +56,12 @@ WITH_RETURNS = f"WITH {RETURNS_SQL} "
 WITH_SUMMARY = f"WITH {SUMMARY_SQL} "
 
 
+#: ``stock`` has one row a day by construction.
+ONE_A_DAY = {"max_group_rows": None}
+
+
 def _returns(spark, sf):
-    return op.calculate_cumulative_returns(op.calculate_daily_returns(stock(spark, sf)))
+    return op.calculate_cumulative_returns(op.calculate_daily_returns(stock(spark, sf), **ONE_A_DAY), **ONE_A_DAY)
 
 
 def _summary(spark, sf):
@@ -66,12 +70,12 @@ def _summary(spark, sf):
 
 @query("daily_returns", WITH_RETURNS + f"SELECT symbol, {_DAY}, close, daily_return FROM returns")
 def daily_returns(spark, sf):
-    return op.calculate_daily_returns(stock(spark, sf)).select("symbol", "date", "close", "daily_return")
+    return op.calculate_daily_returns(stock(spark, sf), **ONE_A_DAY).select("symbol", "date", "close", "daily_return")
 
 
 @query("cumulative_returns", WITH_RETURNS + f"SELECT symbol, {_DAY}, close, cumulative_return FROM returns")
 def cumulative_returns(spark, sf):
-    df = op.calculate_cumulative_returns(stock(spark, sf))
+    df = op.calculate_cumulative_returns(stock(spark, sf), **ONE_A_DAY)
     return df.select("symbol", "date", "close", "cumulative_return")
 
 
@@ -80,7 +84,7 @@ def cumulative_returns(spark, sf):
     WITH_RETURNS + f"SELECT symbol, {_DAY}, volatility_30d AS rolling_volatility_30d FROM detailed",
 )
 def rolling_volatility(spark, sf):
-    df = op.calculate_rolling_volatility(op.calculate_daily_returns(stock(spark, sf)))
+    df = op.calculate_rolling_volatility(op.calculate_daily_returns(stock(spark, sf), **ONE_A_DAY), **ONE_A_DAY)
     return df.select("symbol", "date", "rolling_volatility_30d")
 
 
@@ -89,7 +93,7 @@ def rolling_volatility(spark, sf):
     WITH_RETURNS + f"SELECT symbol, {_DAY}, avg_return_30d AS rolling_average_30d FROM detailed",
 )
 def rolling_avg_return(spark, sf):
-    df = op.calculate_rolling_average(op.calculate_daily_returns(stock(spark, sf)))
+    df = op.calculate_rolling_average(op.calculate_daily_returns(stock(spark, sf), **ONE_A_DAY), **ONE_A_DAY)
     return df.select("symbol", "date", "rolling_average_30d")
 
 
@@ -104,7 +108,7 @@ _DETAIL = "daily_return, cumulative_return, volatility_30d, avg_return_30d, dail
 
 @query("stock_detailed", WITH_RETURNS + f"SELECT symbol, {_DAY}, close, volume, {_DETAIL} FROM detailed")
 def stock_detailed(spark, sf):
-    return op.detailed(stock(spark, sf)).drop("open", "high", "low")
+    return op.detailed(stock(spark, sf), **ONE_A_DAY).drop("open", "high", "low")
 
 
 def _per_symbol_and_user(text: str) -> str:
@@ -124,7 +128,25 @@ def _per_symbol_and_user(text: str) -> str:
 def user_series_detailed(spark, sf):
     """The same analytics on one series per symbol and user, whose number grows with the data."""
     prices = stock(spark, sf, "user_id")
-    return op.detailed(prices, ["symbol", "user_id"]).drop("open", "high", "low")
+    return op.detailed(prices, ["symbol", "user_id"], **ONE_A_DAY).drop("open", "high", "low")
+
+
+_TICKS_SQL = RETURNS_SQL.replace(
+    STOCK_SQL,
+    """stock AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'INDEX' ELSE 'U' || user_id % 40 END AS symbol, event_id, ts AS date,
+         value + event_id % 5 AS high, value - event_id % 3 AS low, value AS close
+  FROM events)""",
+).replace("ORDER BY date", "ORDER BY date, event_id")
+
+
+@query("intraday_detailed", f"WITH {_TICKS_SQL} SELECT symbol, event_id, close, {_DETAIL} FROM detailed")
+def intraday_detailed(spark, sf):
+    """One row per event; one symbol holds a third of all rows, so its series grows with the data."""
+    symbol = "CASE WHEN event_id % 3 = 0 THEN 'INDEX' ELSE 'U' || user_id % 40 END AS symbol"
+    prices = ["value + event_id % 5 AS high", "value - event_id % 3 AS low", "value AS close"]
+    ticks = table(spark, sf, "events").selectExpr(symbol, "event_id", "ts AS date", *prices)
+    return op.detailed(ticks, order=["date", "event_id"]).drop("date", "high", "low")
 
 
 @query(
@@ -236,7 +258,7 @@ def best_performer(spark, sf):
     " min(r) AS bin_min, max(r) AS bin_max FROM known, span GROUP BY 1",
 )
 def return_histogram(spark, sf):
-    return op.histogram(op.calculate_daily_returns(stock(spark, sf)), "daily_return", 30)
+    return op.histogram(op.calculate_daily_returns(stock(spark, sf), **ONE_A_DAY), "daily_return", 30)
 
 
 @query(

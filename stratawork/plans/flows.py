@@ -11,10 +11,10 @@ from ..catalog import save_files
 from ..operators.campaigns import campaign_metrics, campaign_totals
 from ..operators.cleanse import clean_orders
 from ..operators.profile import counted, run_record
-from ..operators.quality import route_by_status, with_quality_score
+from ..operators.quality import route_by_status, split_rows, with_quality_score
 from ..operators.sales import revenue
 from ..sources.files import with_lineage
-from ..workspace import new_folder
+from ..workspace import new_folder, reused
 
 
 class LayerFolders:
@@ -25,9 +25,11 @@ class LayerFolders:
 
     def write(self, df: DataFrame, layer: str, partition_by: list[str] | None = None) -> DataFrame:
         """Write one layer and return it as read back: a restart point for the next layer."""
-        path = f"{self.base}/{layer}"
-        save_files(df, path, partition_by=partition_by)
-        return self.spark.read.parquet(path)
+        save_files(df, f"{self.base}/{layer}", partition_by=partition_by)
+        return self.read(layer)
+
+    def read(self, layer: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/{layer}")
 
 
 def daily_store_revenue(raw_sales: DataFrame, layers: LayerFolders) -> DataFrame:
@@ -56,22 +58,39 @@ def campaign_performance(raw: DataFrame, layers: LayerFolders) -> DataFrame:
 def customer_quality(raw: DataFrame, layers: LayerFolders, checks: dict[str, Column]) -> DataFrame:
     """Score customers, keep the good and the flagged, quarantine the failed; returns the run record.
 
-    The scored rows are written once and read by both routes. Row counts are observed while the
-    rows are written, without further passes.
+    The scored rows are worked out once, for the count and for both routes. What each route gets is observed
+    while it is written, without further passes.
     """
     started = datetime.now(timezone.utc)
-    scored_rows, seen = counted(with_quality_score(raw, checks), "input")
-    kept_rows, failed_rows = route_by_status(layers.write(scored_rows, "scored"))
-    kept_rows, kept = counted(kept_rows, "kept")
-    failed_rows, failed = counted(failed_rows, "failed")
-    layers.write(kept_rows, "silver")
-    layers.write(failed_rows, "quarantine")
+    with reused(with_quality_score(raw, checks)) as scored:
+        records_input = scored.count()
+        kept_rows, failed_rows = route_by_status(scored)
+        kept, failed = written_counts(layers, {"silver": kept_rows, "quarantine": failed_rows})
     return run_record(
         layers.spark,
         str(uuid.uuid4()),
         "customer_quality",
         started,
-        records_input=seen.get["rows"],
-        records_output=kept.get["rows"],
-        records_failed=failed.get["rows"],
+        records_input=records_input,
+        records_output=kept,
+        records_failed=failed,
     )
+
+
+def written_counts(layers: LayerFolders, parts: dict[str, DataFrame]) -> list[int]:
+    """Write each part to the layer of its name; the rows of each, as observed by its write."""
+    counts = []
+    for layer, rows in parts.items():
+        watched, seen = counted(rows, layer)
+        layers.write(watched, layer)
+        counts.append(seen.get["rows"])
+    return counts
+
+
+def quarantine(raw: DataFrame, layers: LayerFolders, condition: Column) -> DataFrame:
+    """Land accepted and quarantined rows from one evaluation of ``raw``; both are returned, marked by ``route``."""
+    with reused(raw) as rows:
+        good, bad = split_rows(rows, condition)
+        written_counts(layers, {"accepted": good, "quarantined": bad})
+    landed = [layers.read(layer).withColumn("route", F.lit(layer)) for layer in ("accepted", "quarantined")]
+    return landed[0].unionByName(landed[1])

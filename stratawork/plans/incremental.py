@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import merge
 from ..operators.profile import partition_profile, quality_alert, quality_trend
+from ..sources.ledger import FileLedger
+from ..workspace import Storage, new_folder
 from .registry import query
-from .views import CHANGES_SQL, ORDER_SALES_SQL, RUNS_SQL, changes, order_sales, runs, table
+from .views import CHANGES_SQL, ORDER_SALES_SQL, RUNS_SQL, TABLES, changes, order_sales, runs, table
 
 WITH_CHANGES = f"WITH {CHANGES_SQL} "
 _CUT = datetime.date(2000, 1, 1)
@@ -240,16 +244,48 @@ def quality_alert_query(spark, sf):
     return quality_alert(quality_trend(runs(spark, sf)))
 
 
+@query("partition_profile")
+def partition_profile_query(spark, sf):
+    """How the scan of each given table is dealt out: partitions, rows of the smallest, mean and largest one, skew."""
+    profiles = [partition_profile(table(spark, sf, t)).withColumn("table_name", F.lit(t)) for t in TABLES]
+    return reduce(DataFrame.unionByName, profiles)
+
+
+# Files read once, by a ledger of their own
+
+
+def _publish(df, folder, name):
+    """``df`` as files ``name-0``, ``name-1``, ... of ``folder``, replacing files of these names."""
+    draft, storage = new_folder(df.sparkSession, "draft"), Storage(df.sparkSession)
+    df.write.parquet(draft)
+    for k, part in enumerate(n for n in storage.names(draft) if n.startswith("part-")):
+        storage.move(f"{draft}/{part}", f"{folder}/{name}-{k}.parquet", replace=True)
+
+
 @query(
-    "partition_profile",
-    "SELECT count(*) AS total_rows, true AS is_counted, true AS is_ordered, true AS has_skew FROM lineitem",
+    "ledger_incremental",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN 2 * o_totalprice ELSE o_totalprice END AS o_totalprice,"
+    " CASE WHEN o_orderkey % 4 IN (1, 3) THEN 2 ELSE 1 END::BIGINT AS load FROM orders WHERE o_orderkey % 8 <> 5",
 )
-def partition_profile_query(spark, sf):
-    """The spread depends on how files are split; what holds for every spread is shown."""
-    profile = partition_profile(table(spark, sf, "lineitem"))
-    return profile.select(
-        "total_rows",
-        (F.abs(F.col("avg_rows") * F.col("partition_count") - F.col("total_rows")) < 0.5).alias("is_counted"),
-        ((F.col("min_rows") <= F.col("avg_rows")) & (F.col("avg_rows") <= F.col("max_rows"))).alias("is_ordered"),
-        (F.col("skew_ratio") >= 1).alias("has_skew"),
-    )
+def ledger_incremental(spark, sf):
+    """Two deliveries; the second changes files in place (prices doubled, some orders gone) and adds new ones.
+
+    The second load reads the changed and the new files alone, a third one finds nothing.
+    """
+    orders, folder = table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), new_folder(spark, "inbox")
+    ledger = FileLedger(spark, folder, new_folder(spark, "ledger"))
+
+    def group(k):
+        return orders.filter(F.col("o_orderkey") % 4 == k).repartition(2, "o_orderkey")
+
+    def load():
+        return ledger.load(lambda paths: spark.read.schema(orders.schema).parquet(*paths))
+
+    for k in (0, 1, 2):
+        _publish(group(k), folder, f"orders-{k}")
+    first = load()
+    _publish(group(1).filter("o_orderkey % 8 <> 5").withColumn("o_totalprice", 2 * F.col("o_totalprice")), folder, "orders-1")
+    _publish(group(3), folder, "orders-3")
+    if (first, load(), load()) != (6, 4, 0):
+        raise RuntimeError("a load takes the files that are new or changed, and no others")
+    return ledger.rows().select("o_orderkey", "o_totalprice", "load")

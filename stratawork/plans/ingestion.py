@@ -5,24 +5,27 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
-from ..catalog import replace_partitions, save_files, save_table
+from ..catalog import column_search, ingest_sources, replace_partitions, save_files, save_table, table_inventory
 from ..functions.times import instant_from_utc, utc_from_instant
 from ..operators import nested, sales as op
 from ..operators.ordered import paged_lists
 from ..operators.quality import customer_checks
 from ..sources.files import (
+    file_contents,
     file_manifest,
-    file_size_audit,
     ingest_csv,
     ingest_json,
     ingest_parquet,
     with_lineage,
 )
 from ..streaming.jobs import (
+    BatchLog,
     UpsertLog,
     append_files,
+    deliver,
     each_batch,
     latest_result,
     new_files,
@@ -30,7 +33,7 @@ from ..streaming.jobs import (
     running_state,
     tumbling,
 )
-from ..workspace import durable, new_folder
+from ..workspace import Storage, durable, new_folder
 from . import flows
 from .finance import _METRICS_SQL
 from .quality import GOLD_ORDERS_SQL, _SCORED_SQL, daily_order_gold
@@ -110,21 +113,10 @@ def file_manifest_query(spark, sf):
     return reduce(DataFrame.unionByName, manifests)
 
 
-@query(
-    "file_size_audit",
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, true AS has_content, true AS within_limit" for t in TABLES),
-)
+@query("file_size_audit")
 def file_size_audit_query(spark, sf):
-    """Every file of every given table, against a limit that all of them meet."""
-    audits = [
-        file_size_audit(spark, f"{sf}/{t}.parquet", 1e6).agg(
-            F.lit(t).alias("table_name"),
-            F.every(F.col("file_size") > 0).alias("has_content"),
-            F.every("within_limit").alias("within_limit"),
-        )
-        for t in TABLES
-    ]
-    return reduce(DataFrame.unionByName, audits)
+    """Every file of every given table with its size, its rows and whether it keeps within 10 MB."""
+    return reduce(DataFrame.unionByName, [file_contents(table(spark, sf, t)).withColumn("table_name", F.lit(t)) for t in TABLES])
 
 
 @query(
@@ -446,18 +438,16 @@ def stream_tumbling_complete(spark, sf):
     return result.withColumn("window_start", F.to_date(utc_from_instant("window_start")))
 
 
-@query(
-    "stream_upsert_latest",
+_LATEST_SQL = (
     "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id"
-    " ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
+    " ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"
 )
+
+
+@query("stream_upsert_latest", _LATEST_SQL)
 def stream_upsert_latest(spark, sf):
     """Newest event of every user, merged batch by batch into an upsert log."""
     stream = _event_stream(spark, sf).select("user_id", "event_id", "ts", "value")
-    return _newest_per_user(spark, stream)
-
-
-def _newest_per_user(spark, stream):
     sink = UpsertLog(spark, new_folder(spark, "latest"), stream.schema, ["user_id"], ["ts", "event_id"])
     each_batch(stream, sink, new_folder(spark, "latest-checkpoint"), "append").awaitTermination()
     return sink.read().drop("ts")
@@ -467,21 +457,20 @@ _NEWER = "ts >= timestamp_ntz'2024-01-15 00:00:00'"
 
 
 def _two_deliveries(spark, sf):
-    """The events as a stream of two files per trigger order: the newer half comes first, the older one late."""
-    path, events = new_folder(spark, "deliveries"), table(spark, sf, "events")
-    for part in (_NEWER, f"not ({_NEWER})"):
-        events.filter(part).coalesce(1).write.mode("append").parquet(path)
-    return new_files(spark, path, events.schema, max_files_per_trigger=1)
+    """The events in the order of their arrival: the newer half comes first, the older one late."""
+    events = table(spark, sf, "events")
+    return [events.filter(part) for part in (_NEWER, f"not ({_NEWER})")]
 
 
-@query(
-    "stream_upsert_out_of_order",
-    "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id"
-    " ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
-)
+@query("stream_upsert_out_of_order", _LATEST_SQL)
 def stream_upsert_out_of_order(spark, sf):
     """Older events arrive in a later batch and must not win."""
-    return _newest_per_user(spark, _two_deliveries(spark, sf).select("user_id", "event_id", "ts", "value"))
+    columns = ["user_id", "event_id", "ts", "value"]
+    parts = [part.select(*columns) for part in _two_deliveries(spark, sf)]
+    sink = UpsertLog(spark, new_folder(spark, "latest"), parts[0].schema, ["user_id"], ["ts", "event_id"])
+    checkpoint = new_folder(spark, "latest-checkpoint")
+    deliver(spark, parts, lambda stream: each_batch(stream, sink, checkpoint, "append"))
+    return sink.read().drop("ts")
 
 
 @query(
@@ -491,23 +480,196 @@ def stream_upsert_out_of_order(spark, sf):
 )
 def stream_state_update(spark, sf):
     """Keyed state over two batches in update mode; each batch shows the users it changed, the log keeps their last state."""
-    state = running_state(_two_deliveries(spark, sf), "user_id", "value")
-    sink = UpsertLog(spark, new_folder(spark, "state"), state.schema, ["user_id"], ["total_transactions"])
-    each_batch(state, sink, new_folder(spark, "state-checkpoint"), "update").awaitTermination()
+    parts = _two_deliveries(spark, sf)
+    shape = running_state(parts[0], "user_id", "value").schema
+    sink = UpsertLog(spark, new_folder(spark, "state"), shape, ["user_id"], ["total_transactions"])
+    checkpoint = new_folder(spark, "state-checkpoint")
+    deliver(spark, parts, lambda stream: each_batch(running_state(stream, "user_id", "value"), sink, checkpoint, "update"))
     return sink.read()
 
 
+_EVERY_EVENT = "SELECT event_id, user_id, value FROM events"
+
+
+@query("stream_batch_recovered", _EVERY_EVENT)
+def stream_batch_recovered(spark, sf):
+    """The second batch dies behind its write and before its commit; the next run on the checkpoint repeats it."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "value")
+    sink = BatchLog(spark, new_folder(spark, "recovered"), events.schema)
+    checkpoint, failed = new_folder(spark, "recovered-checkpoint"), []
+
+    def write_and_die(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(sink.read().count())
+            raise RuntimeError("stopped before the commit")
+
+    def run(stream):
+        job = each_batch(stream, write_and_die, checkpoint, "append")
+        try:
+            job.awaitTermination()
+        except StreamingQueryException:
+            if len(failed) != 1:
+                raise
+            job = each_batch(stream, write_and_die, checkpoint, "append")
+        return job
+
+    deliver(spark, [events.filter(F.col("event_id") % 3 == k) for k in range(3)], run)
+    if not failed or sink.batches() != [0, 1, 2]:
+        raise RuntimeError(f"the second of three batches should have failed once: {failed}, {sink.batches()}")
+    return sink.read()
+
+
+@query("stream_upsert_compacted", _LATEST_SQL)
+def stream_upsert_compacted(spark, sf):
+    """Nine deliveries, the oldest events last; every second folder is merged as the log grows, and old folders go."""
+    events = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    sink = UpsertLog(spark, new_folder(spark, "compacted"), events.schema, ["user_id"], ["ts", "event_id"], fanout=2)
+    checkpoint = new_folder(spark, "compacted-checkpoint")
+
+    def write(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id % 3 == 2:
+            sink.compact()
+            sink.vacuum()
+
+    days = F.dayofmonth("ts")
+    parts = [events.filter(F.coalesce(F.floor(days / 4), F.lit(0)) == k) for k in range(8, -1, -1)]
+    deliver(spark, parts, lambda stream: each_batch(stream, write, checkpoint, "append"))
+    return sink.read().drop("ts")
+
+
+_DELIVERED = """delivered AS (
+  SELECT *, CASE WHEN event_id % 10 = 7 THEN 3 WHEN event_id % 10 = 3 THEN least(due + 1, 3) ELSE due END AS delivery,
+    time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') + INTERVAL '7 days' AS window_end
+  FROM (SELECT *, (ts >= TIMESTAMP '2024-01-10')::INT + (ts >= TIMESTAMP '2024-01-17')::INT + (ts >= TIMESTAMP '2024-01-24')::INT AS due FROM events)
+), marks AS (
+  SELECT k AS before, max(ts) - INTERVAL '2 days' AS mark FROM delivered JOIN range(5) r(k) ON delivery < k GROUP BY k
+)"""
+
+
+@query(
+    "stream_append_closed_windows",
+    f"WITH {_DELIVERED} SELECT CAST(CAST(window_end - INTERVAL '7 days' AS DATE) AS VARCHAR) AS window_start, event_type,"
+    " CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue, count(*) AS events"
+    " FROM delivered LEFT JOIN marks ON before = delivery WHERE (mark IS NULL OR window_end > mark)"
+    " AND window_end <= (SELECT mark FROM marks WHERE before = 4) GROUP BY 1, 2",
+)
+def stream_append_closed_windows(spark, sf):
+    """Weekly windows over four deliveries in append mode.
+
+    A window comes out once, when the watermark (two days behind the newest event of all earlier
+    triggers) has passed its end. A tenth of the events come one delivery late, and count where their
+    window is still open; another tenth come with the last delivery, mostly too late. Open windows stay in the state.
+    """
+    due = reduce(lambda a, b: a + b, [(F.col("ts") >= F.lit(f"2024-01-{day}").cast("timestamp_ntz")).cast("int") for day in (10, 17, 24)])
+    last = F.col("event_id") % 10
+    delivery = F.when(last == 7, 3).when(last == 3, F.least(due + 1, F.lit(3))).otherwise(due)
+    events = table(spark, sf, "events").filter("ts IS NOT NULL").withColumn("delivery", delivery)
+    out, checkpoint = new_folder(spark, "closed"), new_folder(spark, "closed-checkpoint")
+
+    def run(stream):
+        windows = tumbling(stream.withColumn("ts", instant_from_utc("ts")), "ts", ["event_type"], "value", lateness="2 days")
+        return append_files(windows, out, checkpoint)
+
+    deliver(spark, [events.filter(F.col("delivery") == k).drop("delivery") for k in range(4)], run)
+    return spark.read.parquet(out).withColumn("window_start", F.to_date(utc_from_instant("window_start")))
+
+
+# Several sources, failures, the catalog
+
+
+@query(
+    "fail_fast_load",
+    "SELECT 'STOPPED' AS status, '{\"o_orderkey\":' || min(o_orderkey) || ',' AS offending, 0::BIGINT AS rows_written FROM orders",
+)
+def fail_fast_load(spark, sf):
+    """One order among all arrives cut off; the load stops, names its text, and leaves nothing behind."""
+    orders, path = table(spark, sf, "orders"), new_folder(spark, "strict")
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    text = F.to_json(F.struct("o_orderkey", "o_totalprice"))
+    cut = F.when(F.col("o_orderkey") == F.lit(first), F.regexp_extract(text, "^[^,]*,", 0)).otherwise(text)
+    strict = nested.parse_json_or_stop(orders.select(cut.alias("text")), "text", "o_orderkey long, o_totalprice double")
+    try:
+        strict.write.parquet(path)
+        status, offending = "LOADED", None
+    except PySparkException as error:
+        status, offending = "STOPPED", nested.offending_text(error)
+    left = spark.read.schema(strict.schema).option("recursiveFileLookup", "true").parquet(path) if Storage(spark).names(path) else strict.limit(0)
+    return left.agg(F.lit(status).alias("status"), F.lit(offending).alias("offending"), F.count("*").alias("rows_written"))
+
+
+_SOURCES_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS source, 'LANDED' AS status, count(*) AS record_count, NULL AS error FROM {t}"
+    for name, t in (("shop_csv", "customer"), ("order_json", "orders"), ("event_pages", "events"), ("line_files", "lineitem"))
+)
+
+
+@query(
+    "multi_source_ingest",
+    f"{_SOURCES_SQL} UNION ALL SELECT 'lost_feed', 'FAILED', NULL, 'PATH_NOT_FOUND'"
+    " UNION ALL SELECT 'broken_feed', 'FAILED', NULL, 'USER_RAISED_EXCEPTION' FROM (SELECT count(*) AS n FROM nation) WHERE n > 0",
+)
+def multi_source_ingest(spark, sf):
+    """CSV, JSON lines, pages of an API and columnar files land in one run; a missing and a broken source are set aside."""
+    inbox, raw = new_folder(spark, "inbox"), new_folder(spark, "raw")
+    customers, orders = table(spark, sf, "customer"), table(spark, sf, "orders").drop("o_orderdate")
+    save_files(customers, f"{inbox}/csv", "csv")
+    save_files(orders, f"{inbox}/json", "json")
+    pages = table(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 500).alias("page")).agg(
+        F.collect_list(F.struct("event_id", "user_id", "value")).alias("rows")
+    )
+    save_files(pages, f"{inbox}/pages", "json")
+    page = "page long, rows array<struct<event_id: long, user_id: long, value: double>>"
+    sources = {
+        "shop_csv": lambda: ingest_csv(spark, f"{inbox}/csv", customers.schema),
+        "order_json": lambda: ingest_json(spark, f"{inbox}/json", orders.schema),
+        "event_pages": lambda: ingest_json(spark, f"{inbox}/pages", page).select(F.inline("rows")),
+        "line_files": lambda: ingest_parquet(spark, f"{sf}/lineitem.parquet"),
+        "lost_feed": lambda: ingest_parquet(spark, f"{inbox}/nowhere"),
+        "broken_feed": lambda: nested.parse_json_or_stop(table(spark, sf, "nation"), "n_name", "name string"),
+    }
+    storage = Storage(spark)
+    return ingest_sources(
+        spark, sources, lambda rows, name: save_files(rows, f"{raw}/{name}"), lambda name: storage.delete(f"{raw}/{name}")
+    )
+
+
+@query(
+    "catalog_search",
+    "SELECT * FROM (VALUES ('orders', 'o_custkey', 'bigint', false), ('orders', 'o_orderkey', 'bigint', false),"
+    " ('orders', 'order_year', 'int', true), ('lines', 'l_orderkey', 'bigint', false), ('lines', 'l_partkey', 'bigint', false),"
+    " ('lines', 'l_suppkey', 'bigint', false)) found(table_name, column_name, data_type, is_partition)"
+    " JOIN (SELECT 'orders' AS table_name, count(*) AS record_count FROM orders"
+    " UNION ALL SELECT 'lines', count(*) FROM lineitem) USING (table_name)",
+)
+def catalog_search(spark, sf):
+    """Columns named like a key or a year, among tables made for it, with the tables' inventory; the tables go again."""
+    own = f"stratawork_{uuid.uuid4().hex}_"
+    year = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("order_year"))
+    try:
+        save_table(year, f"{own}orders", partition_by=["order_year"])
+        save_table(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"), f"{own}lines")
+        found = column_search(spark, "key", f"{own}*").unionByName(column_search(spark, "YEAR", f"{own}*"))
+        counts = table_inventory(spark, {t: spark.table(f"{own}{t}") for t in ("orders", "lines")})
+        named = found.withColumn("table_name", F.regexp_replace("table_name", own, ""))
+        return durable(named.join(counts, "table_name"), "catalog-search")
+    finally:
+        for t in ("orders", "lines"):
+            spark.sql(f"DROP TABLE IF EXISTS {own}{t}")
+
+
 # Writers
 
 
 def _own_table(spark, write):
-    """What a catalog table of its own holds after ``write``; the table goes, the rows stay."""
+    """What a catalog table of its own holds after ``write``; the table goes, also where ``write`` fails, the rows stay."""
     name = f"stratawork_{uuid.uuid4().hex}"
-    write(name)
     try:
+        write(name)
         return durable(spark.table(name), "own-table")
     finally:
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @query("table_schema_replaced", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'")

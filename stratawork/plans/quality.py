@@ -16,6 +16,7 @@ from ..operators.cleanse import (
 )
 from ..operators.sales import revenue
 from ..functions.numbers import money_mean, money_sum
+from .flows import LayerFolders, quarantine
 from .registry import query
 from .views import (
     CLEAN_ORDERS_SQL,
@@ -125,6 +126,16 @@ def dq_quarantine(spark, sf):
     return dq.split_rows(dirty_customers(spark, sf).drop("country"), _valid_customer())[1]
 
 
+@query(
+    "quarantine_split",
+    WITH_CUSTOMERS
+    + f"SELECT {_CUSTOMER_COLUMNS}, CASE WHEN {_VALID_SALE} THEN 'accepted' ELSE 'quarantined' END AS route FROM dirty_customers",
+)
+def quarantine_split(spark, sf):
+    """Both sides land in their layers; the customers are worked out once."""
+    return quarantine(dirty_customers(spark, sf).drop("country"), LayerFolders(spark, "quarantine"), _valid_customer())
+
+
 _CHECKS = {
     "completeness_check": "CASE WHEN customer_id IS NULL THEN 'FAIL: customer_id is null'"
     " WHEN name IS NULL THEN 'FAIL: name is null' WHEN email IS NULL THEN 'FAIL: email is null'"

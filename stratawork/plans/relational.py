@@ -15,7 +15,7 @@ from ..operators.cleanse import clean_sales
 from ..operators.joins import having_key_in, lookup
 from ..operators.merge import passes_rules, rows_after, union_widening
 from ..operators.ordered import ordered_scan, running_total_of_peers, top_rows
-from ..operators.quality import null_profile
+from ..operators.quality import profile_of_flags
 from .registry import query
 from .views import (
     CATEGORY_INFO_SQL,
@@ -26,6 +26,7 @@ from .views import (
     category_info,
     order_sales,
     sales,
+    sales_missing,
     table,
 )
 
@@ -227,9 +228,8 @@ def category_summary(spark, sf):
     " min(total_amount) AS min_transaction FROM sales GROUP BY transaction_date, store_location",
 )
 def daily_store_summary(spark, sf):
-    lines = sales(spark, sf, "transaction_date", "supplier_id", "total_amount")
-    daily = op.fold(lines.withColumnRenamed("transaction_date", "date"), ["supplier_id", "date"])
-    return op.unfold(daily.join(stores(spark, sf), "supplier_id"), ["date", "store_location"])
+    lines = sales(spark, sf, "transaction_date", "supplier_id", "total_amount").withColumnRenamed("transaction_date", "date")
+    return op.summarize_by(lines, {"supplier_id": stores(spark, sf)}, ["date", "store_location"])
 
 
 _DAILY_SQL = (
@@ -243,9 +243,8 @@ _DAILY_SQL = (
 @query("silver_daily_sales", _DAILY_SQL)
 def silver_daily_sales(spark, sf):
     lines = sales(spark, sf, "transaction_date", "supplier_id", "total_amount", "quantity").filter("quantity > 0")
-    daily = op.fold(lines.withColumnRenamed("transaction_date", "date"), ["supplier_id", "date"])
-    named = daily.join(stores(spark, sf), "supplier_id").withColumn("store_location", F.upper("store_location"))
-    return op.unfold_revenue(named, ["date", "store_location"])
+    named = stores(spark, sf).withColumn("store_location", F.upper("store_location"))
+    return op.revenue_by(lines.withColumnRenamed("transaction_date", "date"), {"supplier_id": named}, ["date", "store_location"])
 
 
 @query(
@@ -383,9 +382,9 @@ def region_avg_filtered(spark, sf):
     " FROM sales GROUP BY 1, 2",
 )
 def category_region(spark, sf):
-    lines = op.fold(sales(spark, sf, "product_id", "supplier_id", "total_amount"), ["product_id", "supplier_id"])
-    by_store = op.refold(lines.join(stores(spark, sf), "supplier_id"), ["product_id", "store_location"])
-    return op.unfold_revenue(by_store.join(categories(spark, sf), "product_id"), ["product_category", "store_location"])
+    lines = sales(spark, sf, "product_id", "supplier_id", "total_amount")
+    dimensions = {"supplier_id": stores(spark, sf), "product_id": categories(spark, sf)}
+    return op.revenue_by(lines, dimensions, ["product_category", "store_location"])
 
 
 @query(
@@ -410,7 +409,7 @@ def watermark_max(spark, sf):
     + ")",
 )
 def null_profile_query(spark, sf):
-    return null_profile(sales(spark, sf))
+    return profile_of_flags(sales_missing(spark, sf))
 
 
 @query(
@@ -423,8 +422,8 @@ def null_profile_query(spark, sf):
 def tumbling_weekly(spark, sf):
     lines = sales(spark, sf, "event_time", "product_id", "total_amount")
     weeks = lines.withColumn("week_start", F.to_date(F.window("event_time", "7 days")["start"]))
-    weeks = op.fold(weeks, ["product_id", "week_start"]).join(categories(spark, sf), "product_id")
-    return op.unfold_revenue(weeks, ["week_start", "product_category"], "weekly_revenue", "weekly_transactions")
+    named = {"name": "weekly_revenue", "count": "weekly_transactions"}
+    return op.revenue_by(weeks, {"product_id": categories(spark, sf)}, ["week_start", "product_category"], **named)
 
 
 @query(

@@ -82,6 +82,17 @@ def file_size_audit(spark: SparkSession, path: str, max_size_mb: float = 10.0) -
     )
 
 
+def file_contents(scan: DataFrame, max_size_mb: float = 10.0) -> DataFrame:
+    """Name, size, rows and limit verdict of every file behind a scan.
+
+    Sizes come with the listing. Rows are counted from the files' footers where the format has them, as no column
+    is read; one row per file and task is shuffled.
+    """
+    size = F.col("_metadata.file_size")
+    per_file = scan.groupBy(F.col("_metadata.file_name").alias("filename"), size.alias("file_size")).agg(F.count("*").alias("record_count"))
+    return per_file.withColumn("within_limit", F.col("file_size") <= F.lit(int(max_size_mb * MEGABYTE)))
+
+
 def validate_file_size(spark: SparkSession, file_path: str, max_size_mb: float = 10.0) -> bool:
     """False for a missing path and for a path with any file above the limit.
 

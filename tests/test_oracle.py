@@ -17,11 +17,18 @@ def con(sf):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
-    assert difference(df, con, ORACLES[name]) is None
+    if name in ORACLES:
+        assert difference(df, con, ORACLES[name]) is None
+    else:
+        assert df.count() > 0
+
+
+#: How files lie on storage is nothing that SQL over their rows can state; test_files.py compares with the files.
+ABOUT_FILES = {"file_size_audit", "partition_profile"}
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | ABOUT_FILES
 
 
 def test_contract_holds_all_queries():

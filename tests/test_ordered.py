@@ -126,3 +126,40 @@ def test_top_rows_thin_out_before_the_shuffle(skewed, plan_of):
     plan = plan_of(df)
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert df.filter("k = 'hot'").count() == 3
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 500])
+def test_series_in_blocks_equal_plain_windows(skewed, rows, limit):
+    """Lag, first value and a frame of earlier rows, for groups of one block and of many."""
+
+    def compute(df, keys):
+        along = Window.partitionBy(*keys).orderBy("v", "id")
+        frame = along.rowsBetween(-5, 0)
+        return df.withColumns(
+            {
+                "before": F.lag("amount", 2).over(along),
+                "largest": F.max("amount").over(frame),
+                "seen": F.count("amount").over(frame),
+                "ratio": F.col("amount") - F.col("__head"),
+            }
+        )
+
+    def run(most):
+        return ordered.in_blocks(skewed, ["k"], ["v", "id"], 5, compute, first={"__head": "amount"}, max_group_rows=most)
+
+    got, want = run(limit), run(None)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert "__head" not in got.columns
+    assert rows(got) == rows(want)
+
+
+def test_no_block_holds_more_than_its_share(skewed):
+    sizes = []
+
+    def compute(df, keys):
+        if "__block" in keys:
+            sizes.append(df.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return df.withColumn("before", F.lag("id").over(Window.partitionBy(*keys).orderBy("id")))
+
+    ordered.in_blocks(skewed, ["k"], ["id"], 3, compute, max_group_rows=100).count()
+    assert sizes and max(sizes) <= 50 + 3
