@@ -12,7 +12,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numbers import money_sum
-from ..operators.joins import broadcast_when_small
 from ..operators.ordered import paged_lists
 
 
@@ -91,7 +90,8 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def sales_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each row of ``sales`` which of its values are NULL, told where each column lives.
 
-    Tables are joined with their keys and flags alone; those that measure small are broadcast.
+    Tables are joined with their keys and flags alone, so that most of them are below the size up to which Spark
+    broadcasts a side by itself.
     """
 
     def flags(name, *keys):
@@ -100,13 +100,13 @@ def sales_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_name is null as store_location")
     stores = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    stores = stores.join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey")).drop("s_nationkey", "n_nationkey")
-    customers = broadcast_when_small(flags("customer", "c_custkey"))
+    stores = stores.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).drop("s_nationkey", "n_nationkey")
+    customers = flags("customer", "c_custkey")
     orders = flags("orders", "o_orderkey", "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
     df = flags("lineitem", "l_orderkey", "l_partkey", "l_suppkey")
-    df = df.join(broadcast_when_small(flags("part", "p_partkey")), F.col("l_partkey") == F.col("p_partkey"))
-    df = df.join(broadcast_when_small(stores), F.col("l_suppkey") == F.col("s_suppkey"))
-    df = df.join(broadcast_when_small(orders), F.col("l_orderkey") == F.col("o_orderkey"))
+    df = df.join(flags("part", "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+    df = df.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+    df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return df.select(*_SALES)
 
 
