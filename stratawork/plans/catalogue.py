@@ -1,4 +1,4 @@
 """Imports every query module, which registers its queries."""
 
-from . import finance, incremental, ingestion, quality, relational  # noqa: F401
+from . import finance, incremental, ingestion, quality, relational, tables  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
