@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import kept, small_batches
+from .storage import Scope, fresh, kept, small_batches
 
 MIN_WORDS = 50
 GRAM_WORDS = 20
@@ -186,11 +186,16 @@ def _same(left: DataFrame, right: DataFrame):
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``gone``, the numbers of the lines of each text that lie in repeats.
 
-    Texts without such lines have no row; identical rows are one.
+    Texts without such lines have no row; identical rows are one. Other columns are not read.
     """
     if not 0 < gram_words <= min_words:
         raise ValueError("a gram must fit into the shortest repeat")
     small_batches(docs.sparkSession)
+    with Scope(docs.sparkSession) as scope:
+        return scope.hand_on(_gone(docs, min_words, gram_words), "gone-lines")
+
+
+def _gone(docs: DataFrame, min_words: int, gram_words: int) -> DataFrame:
 
     def marks_of(data):
         if len(data) < 2 * min_words - 1:
@@ -236,7 +241,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
     late = windows.join(firsts, (windows["high"] == firsts["h"]) & (windows["low"] == firsts["l"])).filter(place != F.col("place"))
     spans = late.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     gone = F.array_sort(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"])))))
-    return kept(spans.select(*KEY, gone.alias("gone")), "gone-lines")
+    return spans.select(*KEY, gone.alias("gone"))
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
@@ -244,25 +249,27 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
 
     Rows stay even if their whole text was a repeat (then it is empty). NULL and short texts have no
     repeats. Rows with equal ``doc_id`` and text count as one place and are cut alike. A NULL
-    ``doc_id`` comes after all others. Other columns are passed on.
+    ``doc_id`` comes after all others. Other columns are passed on, but for one named ``n_removed``,
+    which the new one replaces.
     """
-    gone = repeated_lines(docs, min_words, gram_words).toDF("key_id", "key_hash", "__gone")
+    key_id, key_hash, gone = fresh(docs, "key_id", "key_hash", "gone")
+    lost = repeated_lines(docs, min_words, gram_words).toDF(key_id, key_hash, gone)
     digest = F.xxhash64("text")
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["key_id"]) & (digest == gone["key_hash"])
-    rows = docs.join(gone, same, "left").select(*docs.columns, "__gone")
-    names = docs.columns
+    same = docs["doc_id"].cast("long").eqNullSafe(lost[key_id]) & (digest == lost[key_hash])
+    rows = docs.join(lost, same, "left").drop(key_id, key_hash)
+    fields = [f for f in docs.schema.fields if f.name != "n_removed"]
+    names = [f.name for f in fields]
 
     def cut(batches):
         for batch in batches:
-            text, lost = batch.column("text"), batch.column("__gone")
-            hit = lost.is_valid()
+            text, lines = batch.column("text"), batch.column(gone)
+            hit = lines.is_valid()
             if pc.any(hit).as_py():
-                rows = np.flatnonzero(hit.to_numpy(zero_copy_only=False)).tolist()
-                left = [Lines(text[i].as_buffer()).without(np.array(lost[i].as_py())).decode() for i in rows]
+                at = np.flatnonzero(hit.to_numpy(zero_copy_only=False)).tolist()
+                left = [Lines(text[i].as_buffer()).without(np.array(lines[i].as_py())).decode() for i in at]
                 text = pc.replace_with_mask(text, hit, pa.array(left, text.type))
-            removed = pc.fill_null(pc.list_value_length(lost), 0).cast(pa.int64())
-            columns = {c: batch.column(c) for c in names} | {"text": text, "n_removed": removed}
-            yield pa.RecordBatch.from_pydict(columns)
+            removed = pc.fill_null(pc.list_value_length(lines), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in names} | {"text": text, "n_removed": removed})
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return rows.mapInArrow(cut, ", ".join([*fields, "n_removed long"]))
+    shown = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    return rows.mapInArrow(cut, ", ".join([*shown, "n_removed long"]))

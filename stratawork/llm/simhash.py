@@ -27,6 +27,8 @@ from .storage import Rows, kept, small_batches, text_rows
 
 #: Rows of a bucket that one task compares with each other.
 BLOCK = 2048
+#: Links of larger groups of a bucket are handed on as stars.
+SMALL = 8
 # Fixed value: generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the (23,12) code.
 GENERATOR = 0b110001110101
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -120,8 +122,11 @@ def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count((a ^ b).view(np.uint64))
 
 
-def _stars(fps: np.ndarray, distance: int, split: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges of the links among ``fps``; with ``split`` only of links across that position."""
+def _stars(fps: np.ndarray, distance: int, split: int | None = None, edges_of=None) -> tuple[np.ndarray, ...]:
+    """Star edges of the links among ``fps``; with ``split`` only of links across that position.
+
+    ``edges_of`` may be :func:`_direct`, whose marks come third.
+    """
     left, right = [], []
     for at in range(0, len(fps) if split is None else split, 512):
         rows = fps[at : at + 512] if split is None else fps[at : min(at + 512, split)]
@@ -129,10 +134,25 @@ def _stars(fps: np.ndarray, distance: int, split: int | None = None) -> tuple[np
         i, j = np.nonzero(differing(rows[:, None], cols[None, :]) <= distance)
         left.append(i + at)
         right.append(j + (split or 0))
-    low, other = star_edges(np.concatenate(left), np.concatenate(right), len(fps))
+    left, right = np.concatenate(left), np.concatenate(right)
+    if edges_of:
+        low, other, marks = edges_of(left, right, len(fps))
+        return fps[low], fps[other], marks
+    low, other = star_edges(left, right, len(fps))
     return fps[low], fps[other]
 
 
+def _direct(left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links as they are in components of up to ``SMALL`` nodes, else star edges, which are marked."""
+    low, other = star_edges(left, right, n)
+    root = np.arange(n)
+    root[other] = low
+    wide = (np.bincount(root, minlength=n) > SMALL)[root]
+    some, star = ~wide[left] & (left < right), wide[other]
+    marks = np.concatenate([np.zeros(some.sum(), bool), np.ones(star.sum(), bool)])
+    return np.concatenate([left[some], low[star]]), np.concatenate([right[some], other[star]]), marks
+
+
 def keyed(fps: DataFrame) -> DataFrame:
     """``bucket`` and ``fp`` for all buckets of every row's fingerprint."""
     key_schema = pa.schema([("bucket", pa.int64()), ("fp", pa.int64())])
@@ -160,13 +180,20 @@ def links(fps: DataFrame, distance: int = 4, block: int = BLOCK) -> DataFrame:
     return bucket_links(fps, distance, block)
 
 
-def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
-    """As :func:`links` at any ``distance``, for the links that share a bucket."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()), ("block", pa.int32())])
+def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK, marked: bool = False) -> DataFrame:
+    """As :func:`links` at any ``distance``, for the links that share a bucket.
+
+    With ``marked`` groups of up to ``SMALL`` fingerprints in a bucket hand on all their links, larger ones
+    stars as before, whose edges (links or not) have ``star`` set.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()), ("block", pa.int32()), ("star", pa.bool_())])
+    edges_of = _direct if marked else None
 
-    def edges(a, b):
+    def edges(a, b, star=None):
         none = pa.nulls(len(a))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none.cast(pa.int64()), none.cast(pa.int32())], schema=schema)
+        star = np.zeros(len(a), bool) if star is None else star
+        arrays = [pa.array(a), pa.array(b), none.cast(pa.int64()), none.cast(pa.int32()), pa.array(star)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def compare(batches):
         """Sorted rows of whole buckets; the last bucket of a batch waits for its further rows."""
@@ -176,13 +203,13 @@ def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame
             if blocks:
                 yield from defer(held)
             elif len(held) > 1:
-                yield edges(*_stars(held, distance))
+                yield edges(*_stars(held, distance, None, edges_of))
 
         def defer(rows):
             n = len(rows)
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.nulls(n).cast(pa.int64()), pa.array(np.full(n, held_key)), pa.array(np.full(n, blocks, np.int32))],
+                    [pa.array(rows), pa.nulls(n).cast(pa.int64()), pa.array(np.full(n, held_key)), pa.array(np.full(n, blocks, np.int32)), pa.array(np.zeros(n, bool))],
                     schema=schema,
                 )
 
@@ -212,10 +239,10 @@ def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame
         big = sizes > 8
         for at, n in zip(starts[big], sizes[big]):
             for low in range(0, n, block):
-                yield edges(*_stars(fp[at + low : at + min(n, low + block)], distance))
+                yield edges(*_stars(fp[at + low : at + min(n, low + block)], distance, None, edges_of))
                 for up in range(low + block, n, block):
                     both = np.concatenate([fp[at + low : at + low + block], fp[at + up : at + min(n, up + block)]])
-                    yield edges(*_stars(both, distance, block))
+                    yield edges(*_stars(both, distance, block, edges_of))
         small = np.repeat(~big, sizes)
         key, fp = key[small], fp[small]
         for step in range(1, 8):
@@ -226,7 +253,7 @@ def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame
             if len(near):
                 yield edges(fp[near], fp[near + step])
 
-    text = "a long, b long, bucket long, block int"
+    text = "a long, b long, bucket long, block int, star boolean"
     found = kept(keyed(fps).repartition("bucket").sortWithinPartitions("bucket", "fp").mapInArrow(compare, text), "simhash-links")
 
     late = found.filter("bucket is not null").select("bucket", "block", F.col("a").alias("fp"))
@@ -241,11 +268,13 @@ def bucket_links(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame
         low = frame.loc[frame["block"] == frame["low"], "fp"].to_numpy()
         high = frame.loc[frame["block"] != frame["low"], "fp"].to_numpy()
         same = frame["low"].iat[0] == frame["high"].iat[0]
-        a, b = _stars(low, distance) if same else _stars(np.concatenate([low, high]), distance, len(low))
-        return pd.DataFrame({"a": a, "b": b})
+        found = _stars(low, distance, None, edges_of) if same else _stars(np.concatenate([low, high]), distance, len(low), edges_of)
+        star = found[2] if marked else np.zeros(len(found[0]), bool)
+        return pd.DataFrame({"a": found[0], "b": found[1], "star": star})
 
-    crossed = unit.groupBy("bucket", "low", "high").applyInPandas(two_blocks, "a long, b long")
-    return found.filter("bucket is null").select("a", "b").unionByName(crossed)
+    crossed = unit.groupBy("bucket", "low", "high").applyInPandas(two_blocks, "a long, b long, star boolean")
+    every = found.filter("bucket is null").select("a", "b", "star").unionByName(crossed)
+    return every if marked else every.select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:

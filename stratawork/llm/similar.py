@@ -7,14 +7,16 @@ text is one shingle) have a Jaccard similarity J of ``similarity`` or more.
    differ with probability (1 - J) / 2 each: 6.4 of 64 on average at J = 0.8, against 32 for texts
    without common shingles. A text has four fingerprints of 64 bits of their own hashes.
 2. Candidates. Each fingerprint has the Golay keys of :mod:`simhash`. Texts that share a bucket and
-   differ in at most ``REACH`` bits of that fingerprint are candidates. Buckets hand on stars.
+   differ in at most ``REACH`` bits of that fingerprint meet. They are candidates if they differ in at most
+   ``TOTAL`` bits of all four: that leaves out texts that meet by chance, whose number grows with the square of
+   the corpus. Small groups of a bucket hand on all their pairs, large ones stars.
 3. Verify. Every candidate's similarity is counted on the words of both texts, without hashes.
-4. Stars again. A star's edge that fails may hide a pair of its leaves. All candidates inside the
-   components with failed edges whose texts are not linked yet are verified as well. So every
-   candidate is verified or lies inside a verified component.
+4. Stars again. A star's edge that is no candidate, or fails, may hide pairs of its leaves. Inside the
+   components of stars with such an edge, all candidates whose texts are not linked yet are verified as well.
 
-One fingerprint misses about a tenth of the pairs at J = 0.8, four miss about one of 10,000, and fewer
-above. Texts with the same shingles are one row before keys are made.
+One fingerprint misses about an eighth of the pairs at J = 0.8, four miss less than one of 1,000, and fewer
+above. Texts with the same shingles are one row before keys are made. All tables written on the way go as the
+function ends.
 """
 
 from __future__ import annotations
@@ -28,13 +30,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .simhash import _firsts, bucket_links, keyed
-from .storage import Rows, kept, small_batches, text_rows
+from .storage import Rows, Scope, kept, small_batches, text_rows
 
 SIMILARITY = 0.8
 SHINGLE = 5
 PRINTS = 4
-#: Bits in which a fingerprint's candidates may differ: four standard deviations above the mean at J = 0.8.
-REACH = 16
+#: Bits of one fingerprint in which texts that meet may differ: 1.7 standard deviations above the mean at J = 0.8.
+REACH = 10
+#: Bits of all fingerprints in which candidates may differ: six standard deviations above the mean at J = 0.8.
+TOTAL = 54
 # Odd multipliers and addends of the hashes of the bits.
 _DRAW = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 64, (2, 64 * PRINTS), np.uint64, False)
 MULTIPLIERS, ADDENDS = _DRAW[0] | np.uint64(1), _DRAW[1]
@@ -91,91 +95,120 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def verified(edges: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
-    """``edges`` with ``ok``, whether the texts (``node``, ``text``) of ``a`` and ``b`` are similar."""
+    """``edges`` with ``ok``, whether the texts (``node``, ``text``) of ``a`` and ``b`` are similar.
+
+    The text of ``b`` travels with each edge, the text of ``a``, the hub of a star, once.
+    """
     one, two = texts.toDF("one", "text_a"), texts.toDF("two", "text_b")
-    pairs = edges.join(one, edges["a"] == one["one"]).join(two, edges["b"] == two["two"])
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("ok", pa.bool_())])
+    leaves = edges.join(two, edges["b"] == two["two"]).drop("two")
+    pairs = leaves.join(one, leaves["a"] == one["one"])
+    more = [c for c in edges.columns if c not in ("a", "b")]
+    kinds = [("a", pa.int64()), ("b", pa.int64()), *[(c, pa.bool_()) for c in more], ("ok", pa.bool_())]
+    schema = pa.schema(kinds)
 
     def run(batches):
         last, held = None, set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 found = []
-                for node, left, right in zip(a, part.column("text_a").to_pylist(), part.column("text_b").to_pylist()):
+                for node, left, right in zip(*[part.column(c).to_pylist() for c in ("a", "text_a", "text_b")]):
                     if node != last:
                         last, held = node, shingles(left, size)
                     found.append(similar(held, shingles(right, size), similarity))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(found, pa.bool_())], schema=schema)
+                columns = [part.column(c) for c in ("a", "b", *more)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.bool_())], schema=schema)
 
-    return kept(pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, ok boolean"), "verified-pairs")
+    text = ", ".join(f"{c} {'long' if c in 'ab' else 'boolean'}" for c, _ in kinds)
+    return kept(pairs.select("a", "b", *more, "text_a", "text_b").mapInArrow(run, text), "verified-pairs")
 
 
-def _stars(nodes: DataFrame) -> DataFrame:
-    """Edges ``a`` < ``b`` between nodes with the components of all candidates."""
+def _met(nodes: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b`` of nodes that meet, ``star`` if they stand for others, and whether they are candidates (``near``)."""
     found = []
     for k in range(PRINTS):
         # of nodes with one fingerprint the smallest stands for all
-        same = kept(nodes.groupBy(F.col(f"f{k}").alias("fp")).agg(F.min("node").alias("hub")), "print-classes")
-        edges = kept(bucket_links(same, REACH), "print-links")
-        left, right = same.toDF("fp_a", "x"), same.toDF("fp_b", "y")
-        met = edges.join(left, edges["a"] == left["fp_a"]).join(right, edges["b"] == right["fp_b"]).select("x", "y")
-        copies = nodes.join(same, nodes[f"f{k}"] == same["fp"]).select(F.col("hub").alias("x"), F.col("node").alias("y"))
+        same = kept(nodes.groupBy(F.col(f"f{k}").alias("fp")).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")), "print-classes")
+        edges = kept(bucket_links(same, REACH, marked=True), "print-links")
+        left, right = same.toDF("fp_a", "x", "n_a"), same.toDF("fp_b", "y", "n_b")
+        met = edges.join(left, edges["a"] == left["fp_a"]).join(right, edges["b"] == right["fp_b"])
+        met = met.select("x", "y", (F.col("star") | (F.col("n_a") + F.col("n_b") > 2)).alias("star"))
+        many = same.filter("n > 1")
+        copies = nodes.join(many, nodes[f"f{k}"] == many["fp"]).select(F.col("hub").alias("x"), F.col("node").alias("y"), (F.col("n") > 2).alias("star"))
         found.append(met.unionByName(copies).filter("x <> y"))
     ends = F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    return kept(reduce(DataFrame.unionByName, found).select(*ends).distinct(), "candidate-stars")
+    pairs = reduce(DataFrame.unionByName, found).select(*ends, "star").groupBy("a", "b").agg(F.max("star").alias("star"))
+    names = [f"f{k}" for k in range(PRINTS)]
+    one = nodes.select(F.col("node").alias("node_a"), *[F.col(f).alias(f"{f}_a") for f in names])
+    two = nodes.select(F.col("node").alias("node_b"), *[F.col(f).alias(f"{f}_b") for f in names])
+    both = pairs.join(one, pairs["a"] == one["node_a"]).join(two, pairs["b"] == two["node_b"])
+    bits = sum((F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in names), F.lit(0))
+    return kept(both.select("a", "b", "star", (bits <= TOTAL).alias("near")), "met")
 
 
 def _pairs(nodes: DataFrame) -> DataFrame:
     """All candidates ``a`` < ``b`` of nodes with different ``root``."""
-    found = []
+    found, names = [], [f"f{k}" for k in range(PRINTS)]
     for k in range(PRINTS):
-        fps = nodes.select(F.col(f"f{k}").alias("fp"))
-        keys = kept(keyed(fps.distinct()), "print-keys").toDF("bucket", "of")
-        rows = keys.join(nodes, keys["of"] == nodes[f"f{k}"]).select("bucket", F.col("of").alias("fp"), "node", "root")
-        rows = kept(rows, "suspect-keys")
-        one, two = rows.toDF("bucket", "fp_a", "a", "root_a"), rows.toDF("bucket_b", "fp_b", "b", "root_b")
-        met = one.join(two, (one["bucket"] == two["bucket_b"]) & (one["a"] < two["b"]) & (one["root_a"] != two["root_b"]))
-        found.append(met.filter(F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= REACH).select("a", "b"))
+        keys = keyed(nodes.select(F.col(f"f{k}").alias("fp")).distinct()).toDF("bucket", "of")
+        rows = kept(keys.join(nodes, keys["of"] == nodes[f"f{k}"]).select("bucket", "node", "root", *names), "suspect-keys")
+        one, two = (rows.toDF(*[f"{c}_{side}" for c in rows.columns]) for side in "ab")
+        apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+        met = one.join(two, (F.col("bucket_a") == F.col("bucket_b")) & apart)
+        bits = [F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in names]
+        close = met.filter((bits[k] <= REACH) & (sum(bits, F.lit(0)) <= TOTAL))
+        found.append(close.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``text_hash`` and ``group`` for every row: texts are in one group if similar texts connect them."""
+    """``doc_id``, ``text_hash`` and ``group`` for every row: texts are in one group if similar texts connect them.
+
+    NULL texts and texts without words are similar to each other alone. Repeated rows share a group, a NULL
+    ``doc_id`` stays NULL, an empty table gives an empty result; other columns are not read.
+    """
     if not SIMILARITY <= similarity <= 1:
         raise ValueError("the fingerprints are laid out for similarities of 0.8 or more")
+    with Scope(docs.sparkSession) as scope:
+        return scope.hand_on(_groups(docs, similarity, size), "similar-groups")
+
+
+def _groups(docs: DataFrame, similarity: float, size: int) -> DataFrame:
     rows = kept(sketches(docs, size), "sketches")
     names = [f"f{k}" for k in range(PRINTS)]
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")).alias("first")
     nodes = kept(rows.groupBy("node", *names).agg(first), "shingle-sets")
-    stars = _stars(nodes)
+    met = _met(nodes.select("node", *names))
+    own = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), F.col("text").alias("own_text"))
 
     def texts_of(edges):
         """One text of each node of the edges."""
         ends = edges.select(F.col("a").alias("end")).unionByName(edges.select(F.col("b").alias("end"))).distinct()
-        at = nodes.join(ends, nodes["node"] == ends["end"], "left_semi").select("node", "first.doc_id", "first.text_hash").toDF("node", "key_id", "key_hash")
-        digest = F.xxhash64("text")
-        same = docs["doc_id"].cast("long").eqNullSafe(at["key_id"]) & (digest == at["key_hash"])
-        return kept(docs.join(at, same).select("node", "text").dropDuplicates(["node"]), "candidate-texts")
-
-    tested = verified(stars, texts_of(stars), similarity, size)
-    linked = tested.filter("ok").select("a", "b")
-    failed = tested.filter("not ok").select("a", "b")
+        at = nodes.join(ends, nodes["node"] == ends["end"], "left_semi").select("node", "first.doc_id", "first.text_hash")
+        same = own["own_id"].eqNullSafe(at["doc_id"]) & (own["own_hash"] == at["text_hash"])
+        return kept(own.join(at, same).groupBy("node").agg(F.first("own_text").alias("text")), "candidate-texts")
+
+    def tested(edges):
+        with Scope(docs.sparkSession) as scope:
+            return scope.hand_on(verified(edges, texts_of(edges), similarity, size), "tested")
+
+    near = tested(met.filter("near").select("a", "b", "star"))
+    linked = near.filter("ok").select("a", "b")
+    failed = near.filter("star and not ok").select("a", "b").unionByName(met.filter("star and not near").select("a", "b"))
     if not failed.isEmpty():
-        reach = kept(components(stars), "candidate-components")
+        reach = kept(components(met.filter("star").select("a", "b")), "star-components")
         bad = reach.join(failed, reach["node"] == failed["a"]).select(F.col("root").alias("bad")).distinct()
         suspect = reach.join(bad, reach["root"] == bad["bad"], "left_semi").select(F.col("node").alias("is"))
         roots = components(linked).toDF("known", "root")
         rest = nodes.join(suspect, nodes["node"] == suspect["is"], "left_semi").select("node", *names)
         rest = rest.join(roots, rest["node"] == roots["known"], "left").select("node", *names, F.coalesce("root", "node").alias("root"))
         more = _pairs(kept(rest, "suspects"))
-        more = kept(more.join(failed, ["a", "b"], "left_anti"), "more-candidates")
-        linked = linked.unionByName(verified(more, texts_of(more), similarity, size).filter("ok").select("a", "b"))
+        more = kept(more.join(near.select("a", "b"), ["a", "b"], "left_anti"), "more-candidates")
+        linked = linked.unionByName(tested(more).filter("ok").select("a", "b"))
     roots = kept(components(linked), "similar-components").toDF("known", "root")
     return rows.join(roots, rows["node"] == roots["known"], "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("group"))
 
 
 def representatives(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` without near duplicates, chosen as in :func:`simhash.representatives`."""
+    """The rows of ``docs``, all their columns, without near duplicates, chosen as in :func:`simhash.representatives`."""
     return _firsts(docs, near_duplicates(docs, similarity, size))

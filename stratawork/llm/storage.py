@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratawork.workspace import new_folder
+from stratawork.workspace import new_folder, remove
 
 #: Bytes of output a task gathers before it hands a batch to Spark.
 BATCH_BYTES = 8 << 20
@@ -32,13 +34,59 @@ def written(df: DataFrame, path: str) -> str:
     return path
 
 
+#: Scopes of the running thread, the innermost last.
+_SCOPES: ContextVar[tuple["Scope", ...]] = ContextVar("scopes", default=())
+
+
+class Scope:
+    """Removes the tables that :func:`kept` writes inside the block as the block ends.
+
+    What the block returns must be read from tables written with :meth:`hand_on`, which belong to the scope around
+    it; without one they stay.
+    """
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "Scope":
+        self.outer = _SCOPES.get()
+        _SCOPES.set((*self.outer, self))
+        return self
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.set(self.outer)
+        for path in self.paths:
+            remove(self.spark, path)
+
+    def hand_on(self, df: DataFrame, label: str) -> DataFrame:
+        return _table(df, label, self.outer)
+
+
+def _table(df: DataFrame, label: str, scopes: tuple[Scope, ...]) -> DataFrame:
+    path = new_folder(df.sparkSession, label)
+    if scopes:
+        scopes[-1].paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, path))
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives all readers the same rows.
     """
-    path = written(df, new_folder(df.sparkSession, label))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _table(df, label, _SCOPES.get())
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with marks in front until it is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 #: Arrow types of the column types that operators declare.
