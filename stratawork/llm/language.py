@@ -22,9 +22,8 @@ from .storage import Rows, small_batches, text_rows
 BUCKETS = 4096
 LONGEST = 3
 CENTROIDS = 4
-#: Rows of a language that start its clustering, and the longest texts among them.
+#: Rows of a language that start its clustering.
 SAMPLE = 400
-SAMPLE_CHARS = 100_000
 #: Standard deviations below a language's mean cosine where texts are rejected.
 REJECT = 4.0
 #: Turns differences of cosines into a score.
@@ -112,12 +111,25 @@ def fit(train: DataFrame) -> Model:
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, min(1.0, SAMPLE / n)).otherwise(share)
-    sample = train.filter(draw < share).filter(F.length("text") <= SAMPLE_CHARS)
+    counted = "doc_id long, lang string, counts binary"
+
+    def counts(batches):
+        out = Rows(counted)
+        for key, text in text_rows(batches, ("doc_id", "lang")):
+            out.add(*key, gram_counts(text).tobytes(), size=8 * BUCKETS)
+            if out.full():
+                yield out.batch()
+        yield out.batch()
+
+    drawn = train.filter(draw < share).select(F.col("doc_id").cast("long"), "lang", "text")
+    # rows of one size, however long the texts are; a language has about SAMPLE of them
+    sample = drawn.mapInArrow(counts, counted)
 
     def start(frame):
         import pandas as pd
 
-        rows = features(np.stack([gram_counts(t) for t in frame.sort_values("doc_id")["text"]]), idf)
+        ordered = frame.sort_values(["doc_id", "counts"])["counts"]
+        rows = features(np.stack([np.frombuffer(c, np.int64) for c in ordered]), idf)
         return pd.DataFrame({"lang": frame["lang"].iat[0], "centre": [c.astype("f4").tobytes() for c in cluster(rows, CENTROIDS)]})
 
     found = sample.groupBy("lang").applyInPandas(start, "lang string, centre binary").collect()

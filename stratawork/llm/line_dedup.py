@@ -244,20 +244,22 @@ def _gone(docs: DataFrame, min_words: int, gram_words: int) -> DataFrame:
     return spans.select(*KEY, gone.alias("gone"))
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """All rows of ``docs`` with later repeats cut out of ``text``, and ``n_removed``, the lines cut.
+def without_repeats(
+    docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS, name: str = "n_removed"
+) -> DataFrame:
+    """All rows of ``docs`` with later repeats cut out of ``text``, and ``name``, the number of lines cut.
 
     Rows stay even if their whole text was a repeat (then it is empty). NULL and short texts have no
     repeats. Rows with equal ``doc_id`` and text count as one place and are cut alike. A NULL
-    ``doc_id`` comes after all others. Other columns are passed on, but for one named ``n_removed``,
-    which the new one replaces.
+    ``doc_id`` comes after all others. Other columns are passed on, but for one called ``name``, which is
+    replaced.
     """
     key_id, key_hash, gone = fresh(docs, "key_id", "key_hash", "gone")
     lost = repeated_lines(docs, min_words, gram_words).toDF(key_id, key_hash, gone)
     digest = F.xxhash64("text")
     same = docs["doc_id"].cast("long").eqNullSafe(lost[key_id]) & (digest == lost[key_hash])
     rows = docs.join(lost, same, "left").drop(key_id, key_hash)
-    fields = [f for f in docs.schema.fields if f.name != "n_removed"]
+    fields = [f for f in docs.schema.fields if f.name != name]
     names = [f.name for f in fields]
 
     def cut(batches):
@@ -269,7 +271,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram_words: int
                 left = [Lines(text[i].as_buffer()).without(np.array(lines[i].as_py())).decode() for i in at]
                 text = pc.replace_with_mask(text, hit, pa.array(left, text.type))
             removed = pc.fill_null(pc.list_value_length(lines), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in names} | {"text": text, "n_removed": removed})
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in names} | {"text": text, name: removed})
 
     shown = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-    return rows.mapInArrow(cut, ", ".join([*shown, "n_removed long"]))
+    return rows.mapInArrow(cut, ", ".join([*shown, f"`{name}` long"]))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratawork.operators.joins import broadcast_when_small
 
-from .storage import kept, numbered
+from .storage import fresh, kept, numbered
 
 SEEDS = 64
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -92,14 +92,14 @@ def mix(
 
 
 def emitted(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them.
+    """The rows of ``docs``, all their columns, as often as the mix takes them.
 
-    Rows are told apart by ``doc_id`` and text size; equal ones draw alike, so any of them stands for all.
+    Rows are told apart by ``doc_id``, source and text size; equal ones draw alike, so any of them stands for all.
     """
-    plan = mix(docs, **options).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "copies")
-    plan = kept(plan.filter("copies > 0").distinct(), "copies")
-    same = (
-        docs["doc_id"].eqNullSafe(plan["mix_id"]) & docs["source"].eqNullSafe(plan["mix_source"]) & (word_count(docs["text"]) == plan["mix_size"])
-    )
-    rows = docs.join(plan, same).select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("__copy"))
-    return rows.drop("__copy")
+    names = fresh(docs, "mix_id", "mix_source", "mix_size", "copies", "copy")
+    plan = mix(docs, **options).select("doc_id", "source", "size", "copies").filter("copies > 0").distinct()
+    plan = kept(plan.toDF(*names[:4]), "copies")
+    id_, source, size, copies, copy = names
+    same = docs["doc_id"].eqNullSafe(plan[id_]) & docs["source"].eqNullSafe(plan[source]) & (word_count(docs["text"]) == plan[size])
+    rows = docs.join(plan, same).withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int"))))
+    return rows.drop(*names)

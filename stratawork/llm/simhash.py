@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .components import components, star_edges
-from .storage import Rows, kept, small_batches, text_rows
+from .storage import Rows, fresh, kept, small_batches, text_rows
 
 #: Rows of a bucket that one task compares with each other.
 BLOCK = 2048
@@ -311,4 +311,5 @@ def _firsts(docs: DataFrame, named: DataFrame) -> DataFrame:
     same = docs["doc_id"].cast("long").eqNullSafe(stay["stay_id"]) & (digest == stay["stay_hash"])
     rows = docs.join(stay, same, "left_semi")
     order = Window.partitionBy("doc_id", digest).orderBy(F.lit(1))
-    return rows.withColumn("__row", F.row_number().over(order)).filter("__row = 1").drop("__row")
+    (row,) = fresh(docs, "row")
+    return rows.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1).drop(row)

@@ -12,7 +12,8 @@ text is one shingle) have a Jaccard similarity J of ``similarity`` or more.
    the corpus. Small groups of a bucket hand on all their pairs, large ones stars.
 3. Verify. Every candidate's similarity is counted on the words of both texts, without hashes.
 4. Stars again. A star's edge that is no candidate, or fails, may hide pairs of its leaves. Inside the
-   components of stars with such an edge, all candidates whose texts are not linked yet are verified as well.
+   components of stars with such an edge, all candidates whose texts are not linked yet are verified as well,
+   block by block, without a row per pair.
 
 One fingerprint misses about an eighth of the pairs at J = 0.8, four miss less than one of 1,000, and fewer
 above. Texts with the same shingles are one row before keys are made. All tables written on the way go as the
@@ -28,8 +29,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from stratawork.operators.joins import broadcast_when_small
+
 from .components import components
-from .simhash import _firsts, bucket_links, keyed
+from .simhash import _firsts, bucket_links
 from .storage import Rows, Scope, kept, small_batches, text_rows
 
 SIMILARITY = 0.8
@@ -39,6 +42,8 @@ PRINTS = 4
 REACH = 10
 #: Bits of all fingerprints in which candidates may differ: six standard deviations above the mean at J = 0.8.
 TOTAL = 54
+#: Texts of a block; a task compares two blocks.
+BLOCK = 256
 # Odd multipliers and addends of the hashes of the bits.
 _DRAW = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 64, (2, 64 * PRINTS), np.uint64, False)
 MULTIPLIERS, ADDENDS = _DRAW[0] | np.uint64(1), _DRAW[1]
@@ -146,19 +151,45 @@ def _met(nodes: DataFrame) -> DataFrame:
     return kept(both.select("a", "b", "star", (bits <= TOTAL).alias("near")), "met")
 
 
-def _pairs(nodes: DataFrame) -> DataFrame:
-    """All candidates ``a`` < ``b`` of nodes with different ``root``."""
-    found, names = [], [f"f{k}" for k in range(PRINTS)]
-    for k in range(PRINTS):
-        keys = keyed(nodes.select(F.col(f"f{k}").alias("fp")).distinct()).toDF("bucket", "of")
-        rows = kept(keys.join(nodes, keys["of"] == nodes[f"f{k}"]).select("bucket", "node", "root", *names), "suspect-keys")
-        one, two = (rows.toDF(*[f"{c}_{side}" for c in rows.columns]) for side in "ab")
-        apart = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-        met = one.join(two, (F.col("bucket_a") == F.col("bucket_b")) & apart)
-        bits = [F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in names]
-        close = met.filter((bits[k] <= REACH) & (sum(bits, F.lit(0)) <= TOTAL))
-        found.append(close.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    return reduce(DataFrame.unionByName, found).distinct()
+def _block_links(nodes: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Star edges ``a``, ``b`` of all similar candidates inside each ``bad`` group of rows ``node``, ``root``, ``text``.
+
+    Groups are cut into blocks by hash, and every two blocks meet in a task of their own, which compares
+    fingerprints first and then the words of the candidates that no link connects yet. Only stars come out, so
+    a group of any size makes rows in proportion to its nodes and blocks, never a row per pair.
+    """
+    names = [f"f{k}" for k in range(PRINTS)]
+    blocks = nodes.groupBy("bad").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).withColumnRenamed("bad", "of")
+    dealt = nodes.join(broadcast_when_small(blocks), F.col("bad") == F.col("of"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    ends = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    units = dealt.select("bad", *ends, "block", "node", "root", "text", *names)
+
+    def compare(frame):
+        import pandas as pd
+
+        frame = frame.sort_values("node", ignore_index=True)
+        prints, blocks = frame[names].to_numpy(np.int64), frame["block"].to_numpy()
+        sets = [shingles(text, size) for text in frame["text"]]
+        group = {root: k for k, root in enumerate(dict.fromkeys(frame["root"]))}
+        of = np.array([group[root] for root in frame["root"]])
+        left, right = [], []
+        crossed = frame["low"].iat[0] != frame["high"].iat[0]
+        for i in range(len(frame) - 1):
+            bits = np.bitwise_count((prints[i] ^ prints[i + 1 :]).view(np.uint64))
+            near = (bits.sum(axis=1) <= TOTAL) & (bits.min(axis=1) <= REACH)
+            if crossed:
+                near &= blocks[i + 1 :] != blocks[i]
+            for j in (np.flatnonzero(near) + i + 1).tolist():
+                if of[i] != of[j] and similar(sets[i], sets[j], similarity):
+                    left.append(i)
+                    right.append(j)
+                    of[of == of[j]] = of[i]
+        found = frame["node"].to_numpy()
+        return pd.DataFrame({"a": found[left], "b": found[right]}, dtype="int64")
+
+    return units.groupBy("bad", "low", "high").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
@@ -198,13 +229,13 @@ def _groups(docs: DataFrame, similarity: float, size: int) -> DataFrame:
     if not failed.isEmpty():
         reach = kept(components(met.filter("star").select("a", "b")), "star-components")
         bad = reach.join(failed, reach["node"] == failed["a"]).select(F.col("root").alias("bad")).distinct()
-        suspect = reach.join(bad, reach["root"] == bad["bad"], "left_semi").select(F.col("node").alias("is"))
-        roots = components(linked).toDF("known", "root")
-        rest = nodes.join(suspect, nodes["node"] == suspect["is"], "left_semi").select("node", *names)
-        rest = rest.join(roots, rest["node"] == roots["known"], "left").select("node", *names, F.coalesce("root", "node").alias("root"))
-        more = _pairs(kept(rest, "suspects"))
-        more = kept(more.join(near.select("a", "b"), ["a", "b"], "left_anti"), "more-candidates")
-        linked = linked.unionByName(tested(more).filter("ok").select("a", "b"))
+        suspect = kept(reach.join(bad, reach["root"] == bad["bad"]).select(F.col("node").alias("is"), "bad"), "suspects")
+        roots = kept(components(linked), "linked-roots").toDF("known", "root")
+        rest = nodes.join(suspect, nodes["node"] == suspect["is"]).select("node", "bad", *names)
+        rest = rest.join(roots, rest["node"] == roots["known"], "left").select("node", "bad", *names, F.coalesce("root", "node").alias("root"))
+        texts = texts_of(suspect.select(F.col("is").alias("a"), F.col("is").alias("b"))).withColumnRenamed("node", "text_node")
+        rest = rest.join(texts, rest["node"] == texts["text_node"]).drop("text_node")
+        linked = linked.unionByName(kept(_block_links(rest, similarity, size), "block-links"))
     roots = kept(components(linked), "similar-components").toDF("known", "root")
     return rows.join(roots, rows["node"] == roots["known"], "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("group"))
 

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .storage import Rows, kept
 
 TILE = 1024
-#: Shards of the candidates; queries are sent to each.
-SHARDS = 64
+#: Shards of the candidates at least, and tiles of a shard on average beyond that; queries are sent to each shard.
+SHARDS, SHARD_TILES = 64, 16
 #: Groups in which the lists of a query are merged before the last merge.
 MERGE_GROUPS = 8
 #: Doubles hold whole numbers exactly up to here.
@@ -80,12 +80,15 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` (long) for rows ``vec_id``, ``vector`` of whole numbers.
 
     A query is not its own candidate: rows with its ``vec_id`` are left out. Only vectors of the query's length are
-    candidates. Ids are unique on each side. Products beyond 2^53 cannot be told apart in doubles and are an error.
+    candidates. Rows that share a ``vec_id`` are candidates each; queries that do are one query, whose list
+    has the best products of all its vectors. No rows on either side give no rows. Products beyond 2^53 cannot be told
+    apart in doubles and are an error. Other columns are not read.
     """
     left, right = tiles(queries), tiles(candidates)
+    shards = max(SHARDS, candidates.count() // (SHARD_TILES * TILE))
     left = left.select("dim", F.col("tile").alias("q_tile"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
-    left = left.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))))
-    right = right.withColumn("shard", F.pmod(F.xxhash64("tile"), F.lit(SHARDS)).cast("int")).drop("n", "tile")
+    left = left.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    right = right.withColumn("shard", F.pmod(F.xxhash64("tile"), F.lit(shards)).cast("int")).drop("n", "tile")
     pairs = left.join(right, ["shard", "dim"]).select("shard", "dim", "q_tile", "q_ids", "q_matrix", "ids", "matrix")
     schema = pa.schema([("query_id", pa.int64()), ("shard", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -112,9 +115,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
                 if dim and np.abs(q).max(axis=0) @ np.abs(c).max(axis=0) >= EXACT:
                     raise ValueError("inner products exceed 2^53: scale the vectors down")
                 scores = q @ c.T
-                at = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
-                own = np.nonzero(ids[at] == q_ids)[0]
-                scores[own, at[own]] = -np.inf
+                begin, end = np.searchsorted(ids, q_ids), np.searchsorted(ids, q_ids, "right")
+                for row in np.flatnonzero(begin < end):
+                    scores[row, begin[row] : end[row]] = -np.inf
                 top, who = best(scores, ids, k)
                 key = (shard, q_tile)
                 if key in lists:
@@ -138,13 +141,12 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
 def whole_vectors(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
     """``vec_id`` and ``vector`` with each component x as floor(scale * x).
 
-    Rows without ``vec_id`` and vectors that are NULL or hold NULL or non-finite components take no part. Of rows
-    that share an id the smallest vector counts.
+    Rows without ``vec_id`` and vectors that are NULL or hold NULL or non-finite components take no part. Repeated
+    rows stay, as do rows that share an id.
     """
     values = F.col("embedding").cast("array<double>")
     rows = vectors.filter("vec_id is not null and embedding is not null").select(F.col("vec_id").cast("long"), values.alias("vector"))
     rows = rows.filter(~F.exists("vector", lambda x: F.isnull(x) | F.isnan(x) | (F.abs(x) == float("inf"))))
-    rows = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     return rows.withColumn("vector", F.transform("vector", lambda x: F.floor(x * F.lit(scale)).cast("double")))
 
 

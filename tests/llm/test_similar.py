@@ -69,3 +69,19 @@ def test_only_verified_pairs_link(spark):
     pairs, roots = brute(texts)
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id for r in similar.representatives(docs).collect()} == {i for i in roots if roots[i] == i}
+
+
+def test_blocks_of_a_large_group(spark, monkeypatch):
+    """A hub that is similar to none of many candidates, which are similar in pairs; blocks of four texts."""
+    monkeypatch.setattr(similar, "BLOCK", 4)
+    rng = random.Random(12)
+    base = [f"t{k}" for k in range(150)]
+    texts = []
+    for _ in range(14):
+        one = edited(rng, base, 4)
+        texts += [" ".join(one), " ".join(edited(rng, one, 1))]
+    pairs, roots = brute(texts)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.group for r in similar.near_duplicates(docs).collect()}
+    assert len(set(roots.values())) > 5
+    assert {frozenset(d for d in got if got[d] == g) for g in got.values()} == {frozenset(i for i in roots if roots[i] == r) for r in roots.values()}
