@@ -100,6 +100,13 @@ def flatten_attribute(df: DataFrame, attributes: str, key: str) -> DataFrame:
     )
 
 
+def numbered_items(df: DataFrame, keep: list[str], items: str = "items", page: str = "page_no", page_rows: int = 1000) -> DataFrame:
+    """Items of paged lists, one row each, with ``item_no`` counting from 1 over all pages of a list."""
+    each = df.select(*keep, F.col(page).alias("__page"), F.posexplode(items).alias("__pos", "__item"))
+    number = (F.col("__page") * page_rows + F.col("__pos") + 1).cast("long")
+    return each.select(*keep, number.alias("item_no"), "__item.*")
+
+
 def explode_items(orders: DataFrame, items: str = "items", keep: list[str] = ()) -> DataFrame:
     """One row per item with ``quantity * unit_price * (1 - discount)`` as line total."""
     rows = orders.select(*keep, F.explode(items).alias("i")).select(*keep, "i.*")

@@ -317,6 +317,16 @@ def order_items_exploded(spark, sf):
     return nested.explode_items(nested_orders(spark, sf), keep=["l_orderkey"])
 
 
+@query(
+    "order_items_numbered",
+    "SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,"
+    " l_quantity, l_discount) AS item_no, l_partkey AS product_id, l_quantity AS quantity FROM lineitem",
+)
+def order_items_numbered(spark, sf):
+    """Each item with its place in its order, as the lists hold them."""
+    return nested.numbered_items(nested_orders(spark, sf), ["l_orderkey"]).select("l_orderkey", "item_no", "product_id", "quantity")
+
+
 @query(
     "order_items_collected",
     "SELECT l_orderkey, page_no, count(*) AS item_count, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY rn)"

@@ -227,6 +227,24 @@ def sales_quarantine_counts(spark, sf):
     return revenue(df, [verdict.alias("is_valid")])
 
 
+_READINGS = "CASE WHEN event_id % 7 = 0 THEN {nan} WHEN event_id % 11 = 0 THEN NULL ELSE value END"
+_SHARE = "round(missing * 100.0 / (SELECT count(*) FROM events), 2)"
+
+
+@query(
+    "missing_readings",
+    f"SELECT column_name, missing AS null_count, {_SHARE} AS null_percentage FROM ("
+    "SELECT 'event_id' AS column_name, count(*) FILTER (event_id IS NULL) AS missing FROM events UNION ALL"
+    " SELECT 'user_id', count(*) FILTER (user_id IS NULL) FROM events UNION ALL"
+    " SELECT 'reading', count(*) FILTER (r IS NULL OR isnan(r)) FROM"
+    f" (SELECT {_READINGS.format(nan="'NaN'::DOUBLE")} AS r FROM events))",
+)
+def missing_readings(spark, sf):
+    """NULL and NaN both count as missing in a floating-point column."""
+    readings = _READINGS.format(nan="double('NaN')")
+    return dq.null_profile(table(spark, sf, "events").selectExpr("event_id", "user_id", f"{readings} AS reading"), count_nan=True)
+
+
 @query(
     "standardize_strings",
     WITH_CUSTOMERS
