@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from harness import connect, difference
 from pyspark.sql import functions as F
 
 from stratawork.plans import catalogue
@@ -104,12 +105,31 @@ def test_null_profile_is_one_scan(spark, sf):
     assert physical(null_profile(lines)).count("FileScan") == 1
 
 
-def test_lines_fold_below_the_first_join(spark, sf):
-    for name in ("category_region", "daily_store_summary", "silver_daily_sales", "tumbling_weekly", "dept_revenue"):
+BY_DIMENSION = ("category_region", "daily_store_summary", "silver_daily_sales", "tumbling_weekly")
+
+
+def test_lines_fold_below_the_first_join(spark, sf, monkeypatch):
+    """Where a dimension is too large to be broadcast."""
+    monkeypatch.setattr(op, "measured_bytes", lambda df: 1 << 60)
+    for name in (*BY_DIMENSION, "dept_revenue"):
         plan = physical(QUERIES[name](spark, sf))
         assert re.search(r"Join(?:(?!Join).)*partial_sum(?:(?!Join).)*lineitem", plan, re.DOTALL), name
 
 
+def test_lines_meet_small_dimensions_without_a_shuffle(spark, sf):
+    for name in BY_DIMENSION:
+        plan = physical(QUERIES[name](spark, sf))
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan, name
+        # the only exchanges are broadcasts and that of the folded groups
+        assert plan.count("Exchange hashpartitioning") == 1, name
+
+
+@pytest.mark.parametrize("name", BY_DIMENSION)
+def test_folded_lines_give_the_same_rows(spark, sf, name, monkeypatch):
+    monkeypatch.setattr(op, "measured_bytes", lambda df: 1 << 60)
+    assert difference(QUERIES[name](spark, sf), connect(sf), catalogue.ORACLES[name]) is None
+
+
 def test_stock_needs_no_sorted_aggregate(spark, sf):
     for name in ("stock_summary", "stock_detailed", "user_series_detailed", "avg_close_since"):
         assert "SortAggregate" not in physical(QUERIES[name](spark, sf)), name
