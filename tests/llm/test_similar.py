@@ -85,3 +85,24 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     got = {r.doc_id: r.group for r in similar.near_duplicates(docs).collect()}
     assert len(set(roots.values())) > 5
     assert {frozenset(d for d in got if got[d] == g) for g in got.values()} == {frozenset(i for i in roots if roots[i] == r) for r in roots.values()}
+
+
+def test_a_pair_is_joined_once(spark, monkeypatch):
+    """Near copies share many buckets; each pair of fingerprints leaves them as one row."""
+    tables = []
+
+    def kept(df, label, write=similar.kept):
+        df = write(df, label)
+        if label == "print-links":
+            tables.append([frozenset((r.a, r.b)) for r in df.collect()])
+        return df
+
+    monkeypatch.setattr(similar, "kept", kept)
+    rng = random.Random(21)
+    base = [f"s{k}" for k in range(200)]
+    texts = [" ".join(edited(rng, base, 1)) for _ in range(40)]
+    pairs, roots = brute(texts)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in similar.representatives(docs).collect()} == {i for i in roots if roots[i] == i}
+    assert len(tables) == similar.PRINTS and all(tables)
+    assert all(len(t) == len(set(t)) for t in tables)
