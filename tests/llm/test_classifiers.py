@@ -123,3 +123,43 @@ def test_toxicity_of_every_row(spark, sf, documents):
         assert row.score == pytest.approx(1 / (1 + math.exp(-(z - cut + shift))), abs=2e-3)
         assert row.predicted == int(row.score >= toxicity.CUT)
     assert compared > 0.95 * len(documents)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Long texts count as well, the words of each language over all rows, and shards of a few rows agree with reruns."""
+    monkeypatch.setattr(toxicity, "SHARD", 50, raising=False)
+    plain = ["alpha", "beta", "gamma", "delta", "omega", "kappa"]
+
+    def text(k):
+        words = [plain[(k + i * i) % 6] for i in range(4000 if k % 4 == 0 else 30)]
+        return " ".join(words + ["grobian"] * (k % 4 == 0))
+
+    rows = [(k, text(k), "en" if k % 2 else "de") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int")
+    net = toxicity.fit(docs, labels)
+    assert net is not None and net.langs == ["de", "en"]
+    for at, lang in enumerate(net.langs):
+        counts = np.full(toxicity.BUCKETS, 0.1)
+        for word, n in Counter(w for _, t, own in rows if own == lang for w in t.split()).items():
+            counts[toxicity.forms(word)[0]] += n
+        counts[0] = 1
+        assert np.allclose(net.lang_table[:, at], np.log(counts / counts.sum()), atol=1e-5)
+    asked = spark.createDataFrame([(1, "alpha beta grobian"), (2, "alpha beta"), (3, "alpha " * 5000 + "grobian")], "doc_id long, text string")
+    assert {r.doc_id: r.toxic_score >= toxicity.CUT for r in toxicity.score(asked, net).collect()} == {1: True, 2: False, 3: True}
+    again = toxicity.fit(docs.repartition(7), labels)
+    assert (again.flat() == net.flat()).all() and (again.cuts == net.cuts).all()
+
+
+def test_threshold_of_counted_logits():
+    rng = np.random.default_rng(2)
+    logits = rng.normal(0, 2, 300)
+    toxic = (logits + rng.normal(0, 1, 300) > 1).astype(int)
+    bins = np.floor(logits * toxicity.STEPS).astype(int)
+    places = np.unique(bins)
+    cut = toxicity.threshold(places, *[np.array([(toxic[bins == b] == kind).sum() for b in places]) for kind in (0, 1)])
+
+    def f1(cut):
+        return 2 * toxic[logits >= cut].sum() / ((logits >= cut).sum() + toxic.sum())
+
+    assert f1(cut) >= max(f1(c) for c in logits) - 1e-9
