@@ -8,56 +8,62 @@ decoder looks each control byte up in a table of 256 rows and gathers all bytes
 
 from __future__ import annotations
 
-import bisect
-
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stratawork.workspace import new_folder
 
 from .pieces import encoder
-from .storage import ROW_BITS, Rows, kept, small_batches, text_rows, written
+from .storage import ROW_BITS, Rows, binary_column, binary_values, kept, small_batches, written
 
 # Fixed value: bytes of each of the four ids a control byte stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.int32)
 
 
-def encode_stream(codes: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit codes."""
-    codes = np.ascontiguousarray(codes, "<u4")
-    lengths = np.ones(len(codes), np.int32)
+def _places(counts: np.ndarray) -> np.ndarray:
+    """Where the ids of each document stand if every document begins with a control byte of its own."""
+    first = np.cumsum(counts) - counts
+    bytes_before = np.cumsum(-(-counts // 4)) - -(-counts // 4)
+    return np.arange(int(counts.sum())) + np.repeat(4 * bytes_before - first, counts)
+
+
+def encode_streams(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes, data bytes and how many of each belong to each document.
+
+    ``codes`` are the unsigned 32-bit codes of all documents, ``counts`` how many each has.
+    """
+    codes, counts = np.ascontiguousarray(codes, "<u4"), np.asarray(counts, np.int64)
+    lengths = np.ones(len(codes), np.uint8)
     for byte in range(1, 4):
-        more = codes >= 1 << 8 * byte
-        if not more.any():
-            break
-        lengths += more
-    spare = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
-    spare[: len(codes)] = lengths - 1
+        lengths += codes >= 1 << 8 * byte
+    n_control = -(-counts // 4)
+    spare = np.zeros(4 * int(n_control.sum()), np.uint8)
+    spare[_places(counts)] = lengths - 1
     quads = spare.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    first = np.cumsum(lengths) - lengths
-    data = np.empty(int(lengths.sum()), np.uint8)
-    data[first] = codes & 255
-    for byte in range(1, 4):
-        more = np.nonzero(lengths > byte)[0]
-        if not len(more):
-            break
-        data[first[more] + byte] = codes[more] >> np.uint32(8 * byte) & 255
+    data = codes.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])[np.cumsum(counts)]
+    return control, data, n_control, np.diff(ends, prepend=0)
+
+
+def decode_streams(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The codes of all documents written by :func:`encode_streams`."""
+    lengths = LENGTHS[control].ravel()[_places(np.asarray(counts, np.int64))]
+    codes = np.zeros((len(lengths), 4), np.uint8)
+    codes[np.arange(4) < lengths[:, None]] = data
+    return codes.view("<u4").ravel()
+
+
+def encode_stream(codes: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of unsigned 32-bit codes."""
+    control, data, *_ = encode_streams(codes, [len(codes)])
     return control.tobytes(), data.tobytes()
 
 
 def decode_stream(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` codes written by :func:`encode_stream`."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    data = np.frombuffer(data, np.uint8)
-    first = np.cumsum(lengths) - lengths
-    codes = data[first].astype("<u4") if n else np.zeros(0, "<u4")
-    for byte in range(1, 4):
-        more = np.nonzero(lengths > byte)[0]
-        if not len(more):
-            break
-        codes[more] |= data[first[more] + byte].astype("<u4") << np.uint32(8 * byte)
-    return codes
+    return decode_streams(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), [n])
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataFrame:
@@ -66,19 +72,14 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> D
     NULL and empty texts have the end id alone. One pass, no shuffle; other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    schema = "doc_id long, ids binary"
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, out = encoder(tokenizer), Rows(schema)
-        for doc, text in text_rows(batches, "doc_id"):
-            ids = encode.ids(text) + end
-            out.add(doc, ids, size=len(ids) + 16)
-            if out.full():
-                yield out.batch()
-        yield out.batch()
+        encode = encoder(tokenizer)
+        for batch in batches:
+            for at, ids in encode.columns(batch.column("text"), end_id):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(ids)), ids], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
@@ -88,12 +89,9 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            column = batch.column("ids")
-            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-            if len(column) and ends[-1] > ends[0]:
-                met = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view("<u4"))
-                size = max(len(met), len(total))
-                total = np.pad(total, (0, size - len(total))) + np.pad(met, (0, size - len(met)))
+            met = np.bincount(binary_values(batch.column("ids"), "<u4")[0])
+            size = max(len(met), len(total))
+            total = np.pad(total, (0, size - len(total))) + np.pad(met, (0, size - len(met)))
         out, ids = Rows(schema), np.nonzero(total)[0]
         out.columns = [ids.tolist(), total[ids].tolist()]
         yield out.batch()
@@ -124,16 +122,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int | None = 0, f
     bounds = sorted({int(x) for x in tokens.approxQuantile("doc_id", steps, 0.1 / files)})
 
     def run(batches):
-        table, out = shared.value, Rows(schema)
         for batch in batches:
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                codes = table[np.frombuffer(ids.as_buffer(), "<u4")]
-                control, data = encode_stream(codes)
-                part = len(bounds) if doc is None else bisect.bisect_right(bounds, doc)
-                out.add(doc, part, len(codes), control, data, size=len(control) + len(data) + 16)
-                if out.full():
-                    yield out.batch()
-        yield out.batch()
+            ids, ends = binary_values(batch.column("ids"), "<u4")
+            counts = np.diff(ends, prepend=0)
+            control, data, n_control, n_data = encode_streams(shared.value[ids], counts)
+            doc = batch.column("doc_id")
+            part = np.searchsorted(np.array(bounds, np.int64), doc.fill_null(0).to_numpy(), "right")
+            part[doc.is_null().to_numpy(zero_copy_only=False)] = len(bounds)
+            streams = [binary_column(control, np.cumsum(n_control)), binary_column(data, np.cumsum(n_data))]
+            columns = [doc, pa.array(part, pa.int32()), pa.array(counts, pa.int32()), *streams]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "n_tokens", "control", "data"])
 
     order = F.col("doc_id").asc_nulls_last()
     streams = tokens.mapInArrow(run, schema).repartitionById(files, "part").sortWithinPartitions(order).drop("part")
@@ -150,15 +148,11 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     schema = "doc_id long, pos long, n_tokens long, ids binary"
 
     def run(batches):
-        id_of, out = shared.value, Rows(schema)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "pos", "n_tokens")]
-            for doc, pos, n, control, data in zip(*columns, batch.column("control"), batch.column("data")):
-                ids = id_of[decode_stream(control.as_buffer(), data.as_buffer(), n)].tobytes()
-                out.add(doc, pos, n, ids, size=len(ids) + 32)
-                if out.full():
-                    yield out.batch()
-        yield out.batch()
+            counts = batch.column("n_tokens").cast(pa.int64())
+            control, data = (binary_values(batch.column(c), "u1")[0] for c in ("control", "data"))
+            ids = binary_column(shared.value[decode_streams(control, data, counts.to_numpy())], np.cumsum(counts.to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pos"), counts, ids], ["doc_id", "pos", "n_tokens", "ids"])
 
     return spark.read.parquet(f"{folder}/streams").mapInArrow(run, schema)
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -195,3 +196,27 @@ def test_token_counts(spark, sf):
 def test_token_counts_of_nothing(spark, odd):
     assert token_counts.token_counts(odd.limit(0), BYTE).collect() == []
     assert token_counts.token_counts(odd.filter(F.col("doc_id") == 3), BYTE).collect()[0][1:] == (0, 0)
+
+
+def test_columns_equal_the_library_and_look_a_word_up_once(pair):
+    encoder, tokenizer = pair
+    rng = random.Random(11)
+    parts = [*PARTS, "\x01", "\x02", ".\n", ", ", "\xa0", "|", "\r\n", "x."]
+    texts = [None, "", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000))]
+    got = [ids for _, column in encoder.columns(pa.array(texts), 0) for ids in column.to_pylist()]
+    assert got == [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes() for t in texts]
+    texts = [f"start {a}zyx{b}yx{mark}{c}" for a in "bcd" for b in "uvw" for mark in ".,;!" for c in (" end", "\nEnd", "")]
+    encoder.numbers.clear()
+    list(encoder.columns(pa.array(texts)))
+    # nine words, whatever marks and line breaks follow them
+    assert len([w for w in encoder.numbers if "zyx" in w]) == 9
+
+
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=9), max_size=9))
+def test_streams_of_many_documents(docs):
+    codes, counts = np.array([c for d in docs for c in d], "<u4"), [len(d) for d in docs]
+    control, data, n_control, n_data = token_files.encode_streams(codes, counts)
+    assert (token_files.decode_streams(control, data, counts) == codes).all()
+    single = [token_files.encode_stream(np.array(d, "<u4")) for d in docs]
+    assert [len(c) for c, _ in single] == list(n_control) and [len(d) for _, d in single] == list(n_data)
+    assert b"".join(c for c, _ in single) == control.tobytes() and b"".join(d for _, d in single) == data.tobytes()
