@@ -106,7 +106,7 @@ class _Numbers(dict):
         return number
 
     def full(self) -> bool:
-        return len(self) > 2 * MEMORY_WORDS or len(self.flat) > WORD_CHARS * MEMORY_WORDS
+        return len(self) > 4 * MEMORY_WORDS or len(self.flat) > WORD_CHARS * MEMORY_WORDS
 
 
 class PieceEncoder:
