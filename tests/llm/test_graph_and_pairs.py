@@ -2,6 +2,7 @@
 
 import math
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -40,6 +41,22 @@ def test_components(spark):
     assert components(edges.limit(0)).collect() == []
 
 
+def test_components_make_no_step_over_stars(spark, monkeypatch):
+    """Each table is written by as many tasks as there are partitions: none is made to see that nothing changes."""
+    module, made = sys.modules["stratawork.llm.components"], []
+    monkeypatch.setattr(module, "kept", lambda df, label, kept=module.kept: made.append(label) or kept(df, label))
+    stars = [(1, k) for k in range(2, 40)] + [(k, 100) for k in (100, 101, 102)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {n: 1 if n < 40 else 100 for n in [*range(1, 40), 100, 101, 102]}
+    assert made == ["edges", "stars"]
+    made.clear()
+    # two stars and an edge between leaves; the same edges both ways
+    both = [(1, 2), (1, 3), (5, 6), (6, 3), (2, 1), (3, 6)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(both, "a long, b long")).collect()}
+    assert got == dict.fromkeys([1, 2, 3, 5, 6], 1)
+    assert made[-2:] == ["small-star", "stars"] and len(made) <= 10
+
+
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=30))
 def test_stars_keep_components(pairs):
     low, other = star_edges(np.array([a for a, _ in pairs], int), np.array([b for _, b in pairs], int), 13)

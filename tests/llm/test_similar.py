@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_graph_and_pairs import roots_of
 
 from stratawork.llm import similar
@@ -106,3 +107,32 @@ def test_a_pair_is_joined_once(spark, monkeypatch):
     assert {r.doc_id for r in similar.representatives(docs).collect()} == {i for i in roots if roots[i] == i}
     assert len(tables) == similar.PRINTS and all(tables)
     assert all(len(t) == len(set(t)) for t in tables)
+
+
+def test_late_links_join_roots_alone(spark, monkeypatch):
+    """What blocks find connects the roots known by then: the links found before are not walked through again."""
+    graphs, met = [], similar._met
+
+    def half_met(nodes):
+        """A hub that all others fail, and every second pair of those that meet."""
+        first = nodes.agg(F.min("node")).first()[0]
+        star = nodes.filter(F.col("node") != first).select(F.lit(first).alias("a"), F.col("node").alias("b"), F.lit(True).alias("star"), F.lit(False).alias("near"))
+        return met(nodes).filter(f"a <> {first} and pmod(a ^ b, 2) = 0").unionByName(star)
+
+    monkeypatch.setattr(similar, "_met", half_met)
+    monkeypatch.setattr(similar, "components", lambda edges, of=similar.components: graphs.append([(r.a, r.b) for r in edges.collect()]) or of(edges))
+    monkeypatch.setattr(similar, "BLOCK", 4)
+    rng = random.Random(12)
+    base = [f"t{k}" for k in range(150)]
+    texts = []
+    for _ in range(14):
+        one = edited(rng, base, 4)
+        texts += [" ".join(edited(rng, one, k)) for k in (0, 1, 1)]
+    pairs, roots = brute(texts)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.group for r in similar.near_duplicates(docs).collect()}
+    assert {frozenset(d for d in got if got[d] == g) for g in got.values()} == {frozenset(i for i in roots if roots[i] == r) for r in roots.values()}
+    linked, _, late = graphs
+    nodes = {n for e in linked for n in e}
+    known = roots_of(nodes, linked)
+    assert linked and late and {known.get(n, n) for e in late for n in e} == {n for e in late for n in e}
